@@ -1,0 +1,33 @@
+"""Deciding when a join side may be broadcast and when rows must be spread."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension row here is well under 200 bytes, so this is about 20 MB.
+MAX_BROADCAST_ROWS = 100_000
+
+
+def fits_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Count the rows of a dimension.  Over Parquet this reads footers only."""
+    return dim.count() <= max_rows
+
+
+def lookup_side(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``dim`` if its counted rows fit, else leave the join to the planner.
+
+    In the second case Spark plans a sort-merge join and adaptive execution splits
+    skewed partitions, so a hot key costs more tasks rather than a lost executor.
+    """
+    return F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
+
+
+def spread_tasks(scan: DataFrame) -> int | None:
+    """Task count to spread rows over, or None if the scan already has enough tasks.
+
+    ``scan`` must be a plain file read.  On a large table the scan has far more
+    splits than the cluster has cores and no shuffle is added.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return cores if scan.rdd.getNumPartitions() < cores else None
