@@ -83,7 +83,7 @@ def with_cents(rows: DataFrame, curve: list[Decimal], cents: str) -> DataFrame:
     approx = rows.withColumn("approx", F.col("value").cast("double") * F.col("rate"))
     split = approx.withColumn("whole", F.floor("approx"))
     part = F.col("approx") - F.col("whole")
-    certain = (F.col("approx") < F.lit(_DOUBLE_SAFE_USD * 100)) & (
+    certain = (F.abs("approx") < F.lit(_DOUBLE_SAFE_USD * 100)) & (
         F.abs(part - F.lit(0.5)) > F.lit(_TIE_BAND)
     )
     rounded = F.col("whole") + F.when(part > 0.5, F.lit(1)).otherwise(F.lit(0))

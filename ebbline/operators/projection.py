@@ -34,9 +34,9 @@ N_DAYS = 150
 BASELINE_DECAY = 0.9999
 SCENARIO_DECAY = 0.99
 
-# Task-level sums are kept as two longs, cents = high * _SPLIT + low, which cannot
-# overflow below nine billion rows per task.
-_SPLIT = 1_000_000_000
+# Task-level sums are kept as two longs, cents = high * 2^32 + low with 0 <= low < 2^32,
+# which cannot overflow below two billion rows per task.
+_LOW_BITS = 32
 
 
 def hqla_detail(
@@ -92,12 +92,12 @@ def hqla_daily(
     laid_out = rows.select(*by, "value", F.posexplode(days).alias("day_number", "rate"))
     cents = with_cents(laid_out, curve, "cents").withColumn("task", F.spark_partition_id())
     per_task = cents.groupBy(*by, "day_number", "task").agg(
-        F.sum(F.expr(f"cents div {_SPLIT}")).alias("high"),
-        F.sum(F.col("cents") % F.lit(_SPLIT)).alias("low"),
+        F.sum(F.shiftright("cents", _LOW_BITS)).alias("high"),
+        F.sum(F.col("cents").bitwiseAND(F.lit(2**_LOW_BITS - 1))).alias("low"),
     )
     usd = (
         (
-            F.col("high").cast("decimal(20,0)") * F.lit(Decimal(_SPLIT))
+            F.col("high").cast("decimal(20,0)") * F.lit(Decimal(2**_LOW_BITS))
             + F.col("low").cast("decimal(20,0)")
         )
         * F.lit(Decimal("0.01"))

@@ -143,9 +143,11 @@ class Scenarios:
     ) -> Scenarios:
         matched = {tbl.lower() for _, tbl, _, _ in FACTOR_KINDS.values()}
         used = {name: df for name, df in dims.items() if name in matched}
-        sized = {**used, "rules": rules}
+        ids = tuple(str(i) for i in what_if_ids)
+        wanted = rules.filter(F.col("what_if_id").cast("string").isin(*ids))
+        sized = {**used, "rules": wanted}
         small = frozenset(name for name, df in sized.items() if fits_broadcast(df))
-        return cls(used, rules, tuple(str(i) for i in what_if_ids), small)
+        return cls(used, wanted, ids, small)
 
     def factor_columns(self, kind: str) -> tuple[str, DataFrame]:
         """One row per entity with one factor column per scenario, ready to join.

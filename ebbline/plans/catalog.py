@@ -57,9 +57,14 @@ def present(df: DataFrame) -> DataFrame:
 def scratch_table(spark: SparkSession, name: str) -> str:
     """Path of a new table in the cluster's shared checkpoint folder.
 
-    Only where no such folder is set, as in a local test, a temporary one is used.
+    A temporary folder stands in for it on a local master only, as in tests.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ebbline-")
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not shared:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        shared = tempfile.mkdtemp(prefix="ebbline-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ebbline.functions.calendar import CASH_FLOW, maturity_bucket, survives
 from ebbline.functions.money import TOTAL
-from ebbline.functions.sizing import lookup_side
+from ebbline.functions.sizing import MAX_BROADCAST_ROWS, lookup_side
 from ebbline.operators.projection import hqla_detail
 from ebbline.plans.jobs import Book
 
@@ -42,7 +42,7 @@ def _top(df: DataFrame, value: str, *ties: str, k: int | None) -> DataFrame:
 def largest_outflows(book: Book, k: int = 10) -> DataFrame:
     """Counterparties with the largest outflows, by total.
 
-    The top k are chosen before names are looked up; k bounds the broadcast side.
+    The top k are chosen before names are looked up, so k bounds the broadcast side.
     """
     sums = book.cash_outflows.groupBy("counterparty_id").agg(
         F.sum("outflow_amount_usd").cast(TOTAL).alias("outflow_usd")
@@ -51,7 +51,9 @@ def largest_outflows(book: Book, k: int = 10) -> DataFrame:
     names = book.counterparty_data.select(
         "counterparty_id", "counterparty_name", "counterparty_type"
     )
-    return names.join(F.broadcast(top), "counterparty_id", "right").orderBy(
+    if k <= MAX_BROADCAST_ROWS:
+        top = F.broadcast(top)
+    return names.join(top, "counterparty_id", "right").orderBy(
         F.col("outflow_usd").desc(), "counterparty_id"
     )
 
