@@ -23,11 +23,13 @@ def lookup_side(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame
     return F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
 
 
-def spread_tasks(scan: DataFrame) -> int | None:
-    """Task count to spread rows over, or None if the scan already has enough tasks.
+def spread(scan: DataFrame, *columns: str) -> DataFrame:
+    """Hash rows over all cores if a file scan has fewer splits than there are cores.
 
-    ``scan`` must be a plain file read.  On a large table the scan has far more
-    splits than the cluster has cores and no shuffle is added.
+    Meant for small files, whose single split would keep all but one core idle; hash on
+    columns that are read anyway.  A large table has far more splits than the cluster
+    has cores, and is returned as it is, without a shuffle.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return cores if scan.rdd.getNumPartitions() < cores else None
+    few = scan.rdd.getNumPartitions() < cores
+    return scan.repartition(cores, *columns) if few else scan

@@ -69,13 +69,11 @@ def hqla_daily(
     n_days: int = N_DAYS,
     decay: float = BASELINE_DECAY,
     by: Sequence[str] = (),
-    tasks: int | None = None,
 ) -> DataFrame:
     """Decayed HQLA per forecast day as (by.., day_number, total_hqla_usd).
 
     Each row's value is rounded to cents on each day before it is summed, so rows
-    are expanded inside the map stage and aggregated there.  ``tasks`` spreads the
-    rows first; give it only where the input has fewer splits than cores.
+    are expanded inside the map stage and aggregated there.
 
     Day 0 marks that a group has rows at all: such a group shows every day, with 0
     where nothing is alive, and an empty input shows none.
@@ -85,8 +83,6 @@ def hqla_daily(
         F.col("total_hqla_usd").cast(DETAIL).alias("value"),
         live_days(F.col("maturity_date"), as_of, n_days, POSITION).alias("live"),
     )
-    if tasks:
-        rows = rows.repartition(tasks)
     curve = decay_curve(decay, n_days)
     days = F.slice(decay_in_cents(curve), F.lit(1), F.col("live") + F.lit(1))
     laid_out = rows.select(*by, "value", F.posexplode(days).alias("day_number", "rate"))

@@ -70,7 +70,7 @@ def scratch_table(spark: SparkSession, name: str) -> str:
 
 def baseline_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two baseline runs, a week apart, appended to a run table and read back."""
-    facts, path = StarSchema(spark, sf_dir).facts(), scratch_table(spark, "lcr")
+    facts, path = StarSchema(spark, sf_dir, busy=True).facts(), scratch_table(spark, "lcr")
     for as_of in (EARLIER, AS_OF):
         append_run(run_forecast(facts, as_of), path, as_of)
     return read_table(spark, path, "lcr")
@@ -78,20 +78,20 @@ def baseline_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scenario_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scenario 1 a week ago, scenarios 1 and 2 now."""
-    book, path = StarSchema(spark, sf_dir).book(), scratch_table(spark, "what-if-lcr")
+    book, path = StarSchema(spark, sf_dir, busy=True).book(), scratch_table(spark, "what-if-lcr")
     for as_of, ids in ((EARLIER, ("1",)), (AS_OF, ("1", "2"))):
         append_run(run_what_if(book, ids, as_of), path, as_of, "what_if_lcr")
     return read_table(spark, path, "what_if_lcr")
 
 
-def _facts(build: Callable[[Book], DataFrame]) -> Query:
+def _facts(build: Callable[[Book], DataFrame], busy: bool = False) -> Query:
     """Query over the facts without unit lookups."""
-    return lambda spark, sf_dir: present(build(StarSchema(spark, sf_dir).facts()))
+    return lambda spark, sf_dir: present(build(StarSchema(spark, sf_dir, busy).facts()))
 
 
-def _book(build: Callable[[Book], DataFrame]) -> Query:
+def _book(build: Callable[[Book], DataFrame], busy: bool = False) -> Query:
     """Query over all model tables."""
-    return lambda spark, sf_dir: present(build(StarSchema(spark, sf_dir).book()))
+    return lambda spark, sf_dir: present(build(StarSchema(spark, sf_dir, busy).book()))
 
 
 def _rules(build: Callable[[DataFrame], DataFrame]) -> Query:
@@ -135,7 +135,7 @@ def _factors(kind: str) -> Query:
 
 def _compare(days: Sequence[int] = ()) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        baseline = run_forecast(StarSchema(spark, sf_dir).facts(), AS_OF)
+        baseline = run_forecast(StarSchema(spark, sf_dir, busy=True).facts(), AS_OF)
         latest = hist.latest_run_per_scenario(scenario_history(spark, sf_dir))
         compared = hist.compare_runs(baseline, latest)
         return present(hist.on_days(compared, *days) if days else compared)
@@ -168,7 +168,7 @@ def _fact_tables(book: Book) -> dict[str, DataFrame]:
 
 
 def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    book = StarSchema(spark, sf_dir).book()
+    book = StarSchema(spark, sf_dir, busy=True).book()
     baseline = baseline_history(spark, sf_dir)
     tables = {
         **book.tables(),
@@ -191,13 +191,14 @@ def catalog() -> dict[str, Query]:
         # Projection, netting, ratio
         "hqla_detail": _facts(_detail),
         "hqla_projection_wide": _facts(lambda b: hqla_projection(_detail(b), AS_OF, 30)),
-        "hqla_summary": _facts(lambda b: forecast_hqla(b, AS_OF)),
+        "hqla_summary": _facts(lambda b: forecast_hqla(b, AS_OF), busy=True),
         "hqla_summary_from_wide": _facts(
             lambda b: wide_summary(
                 hqla_projection(_detail(b), AS_OF), "total_hqla_usd", "total_hqla_usd"
-            )
+            ),
+            busy=True,
         ),
-        "hqla_summary_by_level": _facts(lambda b: forecast_hqla(b, AS_OF, by=("hqla_level",))),
+        "hqla_summary_by_level": _facts(lambda b: forecast_hqla(b, AS_OF, by=("hqla_level",)), busy=True),
         "cash_inflow_projection_wide": _book(
             lambda b: cashflow_projection(b.cash_inflows, "inflow", AS_OF, 7)
         ),
@@ -211,19 +212,20 @@ def catalog() -> dict[str, Query]:
                 cashflow_projection(b.cash_outflows, "outflow", AS_OF),
                 "outflow_stock",
                 "total_outflow",
-            )
+            ),
+            busy=True,
         ),
         "net_cashflow": _facts(lambda b: forecast_net(b, AS_OF)),
-        "lcr_baseline": _facts(lambda b: run_forecast(b, AS_OF)),
-        "lcr_baseline_midnight": _facts(lambda b: run_forecast(b, MIDNIGHT)),
-        "lcr_baseline_with_units": _book(lambda b: run_forecast(b, AS_OF)),
+        "lcr_baseline": _facts(lambda b: run_forecast(b, AS_OF), busy=True),
+        "lcr_baseline_midnight": _facts(lambda b: run_forecast(b, MIDNIGHT), busy=True),
+        "lcr_baseline_with_units": _book(lambda b: run_forecast(b, AS_OF), busy=True),
         # Scenarios
         **{f"factors_{kind}": _factors(kind) for kind in FACTOR_KINDS},
         "stressed_inflows": _stressed("cash_inflows", "inflow_id"),
         "stressed_outflows": _stressed("cash_outflows", "outflow_id"),
         "stressed_positions": _stressed("positions", "position_id"),
-        "lcr_what_if": _book(lambda b: run_what_if(b, "1", AS_OF)),
-        "lcr_what_if_all": _book(lambda b: run_what_if(b, SCENARIOS, AS_OF)),
+        "lcr_what_if": _book(lambda b: run_what_if(b, "1", AS_OF), busy=True),
+        "lcr_what_if_all": _book(lambda b: run_what_if(b, SCENARIOS, AS_OF), busy=True),
         # History
         "latest_lcr": _history(hist.latest_lcr),
         "latest_what_if_lcr": _scenario_history(lambda h: hist.latest_what_if_lcr(h, "1")),
@@ -256,10 +258,11 @@ def catalog() -> dict[str, Query]:
         "largest_positions": _facts(lambda b: ask.largest_positions(b, 10)),
         "exposure_by_security_type": _facts(ask.exposure_by_security_type),
         "lcr_drivers": _facts(
-            lambda b: hist.lcr_drivers(forecast_hqla(b, AS_OF), forecast_net(b, AS_OF), 1, N_DAYS)
+            lambda b: hist.lcr_drivers(forecast_hqla(b, AS_OF), forecast_net(b, AS_OF), 1, N_DAYS),
+            busy=True,
         ),
         "counterparties_by_type": _book(ask.counterparties_by_type),
-        "hqla_first_30_days": _facts(lambda b: ask.hqla_over(forecast_hqla(b, AS_OF), 30)),
+        "hqla_first_30_days": _facts(lambda b: ask.hqla_over(forecast_hqla(b, AS_OF), 30), busy=True),
         "flows_by_unit": _book(ask.flows_by_unit),
         "flows_by_counterparty_type": _book(ask.flows_by_counterparty_type),
         "flows_by_type": _facts(ask.flows_by_type),
@@ -296,7 +299,7 @@ def catalog() -> dict[str, Query]:
             )
         ),
         "missing_fields": _book(lambda b: quality.missing_fields(_fact_tables(b))),
-        "reconciliation": _facts(_reconciliation),
+        "reconciliation": _facts(_reconciliation, busy=True),
         "quality_report": lambda spark, sf_dir: present(_report(spark, sf_dir)),
         "quality_summary": lambda spark, sf_dir: present(
             quality.summary(_report(spark, sf_dir))

@@ -22,11 +22,7 @@ from ebbline.operators.scenario import STRESSED_FACTS, apply_scenario
 
 @dataclass(frozen=True)
 class Book:
-    """The input tables of a run; the last three are only needed for scenarios.
-
-    ``tasks`` is the number of tasks to spread positions over before they are laid out
-    over the days; leave it None unless the positions have fewer splits than cores.
-    """
+    """The input tables of a run; the last three are only needed for scenarios."""
 
     positions: DataFrame
     cash_inflows: DataFrame
@@ -35,11 +31,10 @@ class Book:
     counterparty_data: DataFrame | None = None
     business_unit_reference: DataFrame | None = None
     what_if_definitions_lookup: DataFrame | None = None
-    tasks: int | None = None
 
     def tables(self) -> dict[str, DataFrame]:
         """The tables present, by name."""
-        named = {f.name: getattr(self, f.name) for f in fields(self) if f.name != "tasks"}
+        named = {f.name: getattr(self, f.name) for f in fields(self)}
         return {name: df for name, df in named.items() if df is not None}
 
 
@@ -52,7 +47,7 @@ def forecast_hqla(
 ) -> DataFrame:
     """Daily HQLA of a book, optionally per value of ``by``."""
     detail = hqla_detail(book.positions, book.asset_classifications, as_of, by)
-    return hqla_daily(detail, as_of, n_days, decay, by, book.tasks)
+    return hqla_daily(detail, as_of, n_days, decay, by)
 
 
 def forecast_net(
