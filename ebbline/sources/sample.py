@@ -79,7 +79,8 @@ def market_data(
 ) -> DataFrame:
     """One price per security and day: a base price with a daily jitter.
 
-    Each security row produces its own days, so no cross join is planned.
+    Each security row produces its own days, so no cross join is planned.  The base is
+    drawn in a step of its own: next to the explode it would be drawn once per day.
     """
     rows = (
         spark.range(n_securities)
@@ -87,8 +88,8 @@ def market_data(
             _key("SEC_", F.col("id"), 6).alias("security_id"),
             _cycle(SECURITY_TYPES).alias("security_type"),
             _uniform(100.0, 1000.0, seed).cast("decimal(20,4)").alias("base"),
-            F.explode(F.sequence(F.lit(0), F.lit(n_days - 1))).alias("back"),
         )
+        .select("*", F.explode(F.sequence(F.lit(0), F.lit(n_days - 1))).alias("back"))
         .select(
             "security_id",
             "security_type",

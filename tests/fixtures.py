@@ -20,8 +20,8 @@ def day(offset: int) -> dt.date:
 def positions(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     """(id, unit, security_type, position_type, value, maturity)"""
     return spark.createDataFrame(
-        [(i, u, t, p, Decimal(v), m) for i, u, t, p, v, m in rows],
-        "position_id string, business_unit_id string, security_type string,"
+        [(i, u, f"S-{i}", t, p, Decimal(v), m) for i, u, t, p, v, m in rows],
+        "position_id string, business_unit_id string, security_id string, security_type string,"
         " position_type string, position_value_usd decimal(20,2), maturity_date date",
     )
 
