@@ -125,6 +125,10 @@ def factors_of_kind(
     )
 
 
+# Tasks that one entity's facts are spread over where its factors are not broadcast.
+SALTS = 32
+
+
 @dataclass(frozen=True)
 class Scenarios:
     """Dimensions and rules of a run, with their counted sizes.
@@ -150,11 +154,7 @@ class Scenarios:
         return cls(used, wanted, ids, small)
 
     def factor_columns(self, kind: str) -> tuple[str, DataFrame]:
-        """One row per entity with one factor column per scenario, ready to join.
-
-        The table has at most one row per dimension row, so the dimension's counted
-        size bounds it and decides the broadcast.
-        """
+        """One row per entity with one factor column per scenario."""
         ref_tbl, tbl, id_col, match_cols = FACTOR_KINDS[kind]
         hits = _matches(
             self.dims[tbl.lower()], self.rules, id_col, match_cols, ref_tbl, tbl,
@@ -170,7 +170,23 @@ class Scenarios:
                 for n, wid in enumerate(self.what_if_ids)
             ]
         )
-        return id_col, F.broadcast(table) if tbl.lower() in self.small else table
+        return id_col, table
+
+    def join_factors(self, fact: DataFrame, kind: str, spread_by: Sequence[str]) -> DataFrame:
+        """Left join of a fact with the factor columns of one kind.
+
+        The factor table has at most one row per dimension row, so the dimension's
+        counted size bounds it and decides the broadcast.  Beyond that both sides are
+        shuffled; the fact's rows are salted by their own values and the factor rows
+        repeated for every salt, so one entity holding much of the fact is shared out
+        over SALTS tasks.
+        """
+        id_col, table = self.factor_columns(kind)
+        if FACTOR_KINDS[kind][1].lower() in self.small:
+            return fact.join(F.broadcast(table), id_col, "left")
+        salt = F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int")
+        repeated = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        return fact.withColumn("salt", salt).join(repeated, [id_col, "salt"], "left").drop("salt")
 
 
 def apply_factors(
@@ -183,8 +199,7 @@ def apply_factors(
     """
     joined, columns = fact, fact.columns
     for kind in kinds:
-        id_col, table = scenarios.factor_columns(kind)
-        joined = joined.join(table, id_col, "left")
+        joined = scenarios.join_factors(joined, kind, (amount_col, "maturity_date"))
     one = F.lit(1).cast(FACTOR)
 
     def combined(n: int) -> Column:

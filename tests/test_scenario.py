@@ -149,6 +149,8 @@ def test_join_without_broadcast_gives_the_same(spark, monkeypatch):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         df = run_what_if(b, "1", fx.NOON, 5)
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in text and "salt#" in text
         assert {tuple(r) for r in df.collect()} == want
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
