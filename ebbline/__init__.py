@@ -5,6 +5,6 @@ executed until the caller asks for it, apart from row counts of dimension tables
 that decide whether a broadcast is safe.
 """
 
-from ebbline.plans.jobs import Book, run_forecast, run_what_if
+from ebbline.plans.jobs import Book, forecast_job, run_forecast, run_what_if, what_if_job
 
-__all__ = ["Book", "run_forecast", "run_what_if"]
+__all__ = ["Book", "forecast_job", "run_forecast", "run_what_if", "what_if_job"]

@@ -23,6 +23,15 @@ POSITION = "position"
 CASH_FLOW = "cash_flow"
 
 
+def instant(at: dt.datetime) -> Column:
+    """A literal timestamp without time zone.
+
+    Goes through text: a Python datetime would be read in the client's time zone and
+    shown in the session's.
+    """
+    return F.lit(at.isoformat(" ")).cast("timestamp_ntz")
+
+
 def _at_midnight(as_of: dt.datetime) -> bool:
     return as_of.time() == dt.time(0)
 
@@ -48,8 +57,7 @@ def live_days(maturity: Column, as_of: dt.datetime, n_days: int, kind: str) -> C
 
 def alive_on(maturity: Column, as_of: dt.datetime, day: int, kind: str) -> Column:
     """Row counts on forecast day ``day``; the row-level form of :func:`live_days`."""
-    instant = as_of + dt.timedelta(days=day - 1)
-    when = F.lit(instant).cast("timestamp_ntz")
+    when = instant(as_of + dt.timedelta(days=day - 1))
     due = maturity.cast("timestamp_ntz")
     gone = due <= when if kind == POSITION else due < when
     return ~F.coalesce(gone, F.lit(False))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ebbline.functions.calendar import CASH_FLOW, POSITION
+from ebbline.functions.calendar import CASH_FLOW, POSITION, instant
 from ebbline.operators import history as hist
 from ebbline.operators import quality
 from ebbline.operators.projection import (
@@ -175,7 +175,7 @@ def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
         "hqla_summary": forecast_hqla(book, AS_OF),
         "lcr": baseline,
         "what_if_lcr": run_what_if(book, "1", AS_OF).withColumn(
-            "created_timestamp", F.lit(AS_OF).cast("timestamp_ntz")
+            "created_timestamp", instant(AS_OF)
         ),
     }
     return quality.check_all(spark, tables, baseline)

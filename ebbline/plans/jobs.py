@@ -1,13 +1,14 @@
-"""The baseline forecast and the what-if run, each one lazy plan."""
+"""The baseline forecast and the what-if run, each one lazy plan, and their jobs."""
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, fields, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+from ebbline.operators.history import latest_lcr, latest_run_per_scenario
 from ebbline.operators.netting import lcr, net_cashflow
 from ebbline.operators.projection import (
     BASELINE_DECAY,
@@ -18,6 +19,7 @@ from ebbline.operators.projection import (
     hqla_detail,
 )
 from ebbline.operators.scenario import STRESSED_FACTS, apply_scenario
+from ebbline.sources.tables import append_run, read_table
 
 
 @dataclass(frozen=True)
@@ -32,6 +34,11 @@ class Book:
     business_unit_reference: DataFrame | None = None
     what_if_definitions_lookup: DataFrame | None = None
 
+    @classmethod
+    def read(cls, spark: SparkSession, sources: Mapping[str, str]) -> Book:
+        """Book from table names or Parquet paths, one per table of the model."""
+        return cls(**{name: read_table(spark, source, name) for name, source in sources.items()})
+
     def tables(self) -> dict[str, DataFrame]:
         """The tables present, by name."""
         named = {f.name: getattr(self, f.name) for f in fields(self)}
@@ -109,3 +116,34 @@ def run_what_if(
         by,
         on_zero,
     )
+
+
+def forecast_job(
+    spark: SparkSession,
+    sources: Mapping[str, str],
+    target: str,
+    as_of: dt.datetime,
+    n_days: int = N_DAYS,
+    decay: float = BASELINE_DECAY,
+    run_id: str | None = None,
+) -> DataFrame:
+    """Read the tables, append one baseline run to ``target``, return the latest trend."""
+    result = run_forecast(Book.read(spark, sources), as_of, n_days, decay)
+    append_run(result, target, as_of, "lcr", run_id)
+    return latest_lcr(read_table(spark, target, "lcr"))
+
+
+def what_if_job(
+    spark: SparkSession,
+    sources: Mapping[str, str],
+    target: str,
+    what_if_ids: Sequence[str] | str,
+    as_of: dt.datetime,
+    n_days: int = N_DAYS,
+    decay: float = SCENARIO_DECAY,
+    run_id: str | None = None,
+) -> DataFrame:
+    """As :func:`forecast_job` for scenarios; returns the latest run of each."""
+    result = run_what_if(Book.read(spark, sources), what_if_ids, as_of, n_days, decay)
+    append_run(result, target, as_of, "what_if_lcr", run_id)
+    return latest_run_per_scenario(read_table(spark, target, "what_if_lcr"))

@@ -5,8 +5,8 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from ebbline.functions.calendar import instant
 from ebbline.sources.inline import inline_table
 
 # The reference rows.
@@ -104,4 +104,4 @@ _TABLES = {
 def reference_table(spark: SparkSession, table: str, now: dt.datetime) -> DataFrame:
     """One of the five reference tables, stamped with ``now``."""
     columns, rows = _TABLES[table]
-    return inline_table(spark, table, columns, rows, F.lit(now))
+    return inline_table(spark, table, columns, rows, instant(now))

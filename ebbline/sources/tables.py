@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ebbline.functions.calendar import instant
 from ebbline.sources.schemas import SCHEMAS, conform
 
 
@@ -46,7 +47,7 @@ def stamp_run(
     ``run_id`` keeps the rows of concurrent runs apart in one table, where separate
     temporary tables per run would otherwise be needed.
     """
-    stamped = result.withColumn("created_timestamp", F.lit(created).cast("timestamp_ntz"))
+    stamped = result.withColumn("created_timestamp", instant(created))
     names = SCHEMAS[table].fieldNames()
     columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[table].fields]
     if run_id is not None:

@@ -125,3 +125,13 @@ def test_drivers_add_up_and_are_ranked(spark):
     assert sum(r.effect for r in rows) == pytest.approx(90 / 75 - 1)
     assert [r.cause for r in rows] == ["inflow", "hqla", "outflow"]
     assert [r.cause for r in hist.lcr_drivers(hqla, net, 1, 5, k=1).collect()] == ["inflow"]
+
+
+def test_stamps_do_not_depend_on_the_time_zone(spark, tmp_path):
+    path = str(tmp_path / "lcr")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        append_run(series(spark, [(1, 1, 1)]), path, NEW)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert read_table(spark, path, "lcr").first().created_timestamp == NEW

@@ -177,3 +177,17 @@ def test_ratio_and_zero_divisor(spark):
     assert rows[1].lcr == Decimal("0.666666670000") and rows[2].lcr is None
     with pytest.raises(ValueError):
         lcr(net, hqla, on_zero="skip")
+
+
+def test_session_time_zone_does_not_matter(spark):
+    rows = [(Decimal("1.000000"), m) for m in EDGES if m is None or m >= fx.TODAY]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for as_of in INSTANTS:
+            detail = detail_frame(spark, rows)
+            wide = wide_summary(hqla_projection(detail, as_of, 11, 1.0), "total_hqla_usd", "t", 11)
+            want = fx.plain_hqla(rows, as_of, 11, "1.0")
+            assert fx.by_day(wide, "t") == want
+            assert fx.by_day(hqla_daily(detail, as_of, 11, 1.0), "total_hqla_usd") == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
