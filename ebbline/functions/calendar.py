@@ -55,14 +55,6 @@ def live_days(maturity: Column, as_of: dt.datetime, n_days: int, kind: str) -> C
     )
 
 
-def alive_on(maturity: Column, as_of: dt.datetime, day: int, kind: str) -> Column:
-    """Row counts on forecast day ``day``; the row-level form of :func:`live_days`."""
-    when = instant(as_of + dt.timedelta(days=day - 1))
-    due = maturity.cast("timestamp_ntz")
-    gone = due <= when if kind == POSITION else due < when
-    return ~F.coalesce(gone, F.lit(False))
-
-
 def maturity_bucket(maturity: Column, as_of: dt.datetime) -> Column:
     """Label of the maturity band counted in days from ``as_of``."""
     days = F.datediff(maturity, F.lit(as_of.date()))

@@ -22,7 +22,6 @@ RULE_FACTOR = T.DecimalType(12, 2)
 FACTOR = T.DecimalType(17, 12)
 
 DECAY_SCALE = 16
-DECAY = T.DecimalType(DECAY_SCALE + 1, DECAY_SCALE)
 
 # Divisor operands wide enough for 10^22 USD whose quotient still has 14 decimals.
 _RATIO_OPERAND = T.DecimalType(24, 2)
@@ -62,7 +61,7 @@ def decay_in_cents(curve: list[Decimal]) -> Column:
 
 def decay_exact(curve: list[Decimal]) -> Column:
     """Array of the decay factors as decimals, day 1 first."""
-    return F.expr(f"array({', '.join(f'{d}BD' for d in curve)})")
+    return F.expr(f"array({', '.join(f'{d:f}BD' for d in curve)})")
 
 
 # Below this value a double product is known to 0.0004 cents, so its rounding to

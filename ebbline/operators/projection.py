@@ -18,9 +18,8 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.functions.calendar import CASH_FLOW, POSITION, alive_on, live_days, survives
+from ebbline.functions.calendar import CASH_FLOW, POSITION, live_days, survives
 from ebbline.functions.money import (
-    DECAY,
     DETAIL,
     TOTAL,
     after_haircut,
@@ -159,18 +158,19 @@ def hqla_projection(
     decay: float = BASELINE_DECAY,
 ) -> DataFrame:
     """Row-level wide table: the detail columns and one decayed column per day."""
-    maturity, value = F.col("maturity_date"), F.col("total_hqla_usd").cast(DETAIL)
-    return detail.select(
-        "*",
-        *[
-            F.when(
-                alive_on(maturity, as_of, i + 1, POSITION),
-                (value * F.lit(factor).cast(DECAY)).cast(TOTAL),
-            )
-            .otherwise(F.lit(Decimal(0)).cast(TOTAL))
-            .alias(f"day_{i + 1}_total_hqla_usd")
-            for i, factor in enumerate(decay_curve(decay, n_days))
-        ],
+    lives = live_days(F.col("maturity_date"), as_of, n_days, POSITION)
+    value = "CAST(total_hqla_usd AS DECIMAL(20,6))"
+    return (
+        detail.withColumn("live_days", lives)
+        .selectExpr(
+            "*",
+            *[
+                f"CASE WHEN live_days >= {day} THEN CAST({value} * {factor:f}BD AS DECIMAL(38,2))"
+                f" ELSE CAST(0 AS DECIMAL(38,2)) END AS day_{day}_total_hqla_usd"
+                for day, factor in enumerate(decay_curve(decay, n_days), start=1)
+            ],
+        )
+        .drop("live_days")
     )
 
 
@@ -178,16 +178,19 @@ def cashflow_projection(
     flows: DataFrame, direction: str, as_of: dt.datetime, n_days: int = N_DAYS
 ) -> DataFrame:
     """Row-level wide table: all columns of the surviving flows and one per day."""
-    side = direction.lower()
-    maturity, amount = F.col("maturity_date"), F.col(f"{side}_amount_usd")
-    return flows.filter(survives(maturity, as_of, CASH_FLOW)).select(
-        "*",
-        *[
-            F.when(alive_on(maturity, as_of, day, CASH_FLOW), amount)
-            .otherwise(F.lit(0))
-            .alias(f"day_{day}_{side}_stock")
-            for day in range(1, n_days + 1)
-        ],
+    side, maturity = direction.lower(), F.col("maturity_date")
+    return (
+        flows.filter(survives(maturity, as_of, CASH_FLOW))
+        .withColumn("live_days", live_days(maturity, as_of, n_days, CASH_FLOW))
+        .selectExpr(
+            "*",
+            *[
+                f"CASE WHEN live_days >= {day} THEN {side}_amount_usd ELSE 0 END"
+                f" AS day_{day}_{side}_stock"
+                for day in range(1, n_days + 1)
+            ],
+        )
+        .drop("live_days")
     )
 
 
@@ -200,7 +203,7 @@ def wide_summary(
     are never multiplied by the number of days.
     """
     columns = [f"day_{day}_{day_suffix}" for day in range(1, n_days + 1)]
-    sums = projection.agg(*[F.sum(c).cast(TOTAL).alias(c) for c in columns])
+    sums = projection.agg(*[F.expr(f"CAST(SUM({c}) AS DECIMAL(38,2)) AS {c}") for c in columns])
     return (
         sums.unpivot([], columns, "day_raw", "amount")
         .filter(F.col("amount").isNotNull())

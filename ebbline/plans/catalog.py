@@ -78,7 +78,7 @@ def baseline_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scenario_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scenario 1 a week ago, scenarios 1 and 2 now."""
-    book, path = StarSchema(spark, sf_dir, busy=True).book(), scratch_table(spark, "what-if-lcr")
+    book, path = StarSchema(spark, sf_dir, busy=True).book_with_rules(), scratch_table(spark, "what-if-lcr")
     for as_of, ids in ((EARLIER, ("1",)), (AS_OF, ("1", "2"))):
         append_run(run_what_if(book, ids, as_of), path, as_of, "what_if_lcr")
     return read_table(spark, path, "what_if_lcr")
@@ -89,9 +89,16 @@ def _facts(build: Callable[[Book], DataFrame], busy: bool = False) -> Query:
     return lambda spark, sf_dir: present(build(StarSchema(spark, sf_dir, busy).facts()))
 
 
-def _book(build: Callable[[Book], DataFrame], busy: bool = False) -> Query:
-    """Query over all model tables."""
-    return lambda spark, sf_dir: present(build(StarSchema(spark, sf_dir, busy).book()))
+def _book(
+    build: Callable[[Book], DataFrame], busy: bool = False, units: bool = True
+) -> Query:
+    """Query over facts with their lookups, and dimensions."""
+    return lambda spark, sf_dir: present(build(StarSchema(spark, sf_dir, busy).book(units)))
+
+
+def _scenario(build: Callable[[Book], DataFrame], busy: bool = False) -> Query:
+    """Query over all model tables, scenario rules included."""
+    return lambda spark, sf_dir: present(build(StarSchema(spark, sf_dir, busy).book_with_rules()))
 
 
 def _rules(build: Callable[[DataFrame], DataFrame]) -> Query:
@@ -124,11 +131,11 @@ def _stressed(name: str, key: str) -> Query:
         )[name]
         return stressed.select("what_if_id", key, STRESSED_FACTS[name][0])
 
-    return _book(build)
+    return _scenario(build)
 
 
 def _factors(kind: str) -> Query:
-    return _book(
+    return _scenario(
         lambda b: factors_of_kind(kind, b.tables(), b.what_if_definitions_lookup, SCENARIOS)
     )
 
@@ -168,7 +175,7 @@ def _fact_tables(book: Book) -> dict[str, DataFrame]:
 
 
 def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    book = StarSchema(spark, sf_dir, busy=True).book()
+    book = StarSchema(spark, sf_dir, busy=True).book_with_rules()
     baseline = baseline_history(spark, sf_dir)
     tables = {
         **book.tables(),
@@ -224,8 +231,8 @@ def catalog() -> dict[str, Query]:
         "stressed_inflows": _stressed("cash_inflows", "inflow_id"),
         "stressed_outflows": _stressed("cash_outflows", "outflow_id"),
         "stressed_positions": _stressed("positions", "position_id"),
-        "lcr_what_if": _book(lambda b: run_what_if(b, "1", AS_OF), busy=True),
-        "lcr_what_if_all": _book(lambda b: run_what_if(b, SCENARIOS, AS_OF), busy=True),
+        "lcr_what_if": _scenario(lambda b: run_what_if(b, "1", AS_OF), busy=True),
+        "lcr_what_if_all": _scenario(lambda b: run_what_if(b, SCENARIOS, AS_OF), busy=True),
         # History
         "latest_lcr": _history(hist.latest_lcr),
         "latest_what_if_lcr": _scenario_history(lambda h: hist.latest_what_if_lcr(h, "1")),
@@ -247,7 +254,7 @@ def catalog() -> dict[str, Query]:
         "hqla_by_security_type": _facts(lambda b: ask.hqla_by(b, AS_OF, "security_type")),
         "hqla_by_level": _facts(lambda b: ask.hqla_by(b, AS_OF, "hqla_level")),
         "top_unit_by_hqla": _book(lambda b: ask.hqla_by_unit(b, AS_OF, k=1)),
-        "largest_outflows_by_counterparty": _book(lambda b: ask.largest_outflows(b, 10)),
+        "largest_outflows_by_counterparty": _book(lambda b: ask.largest_outflows(b, 10), units=False),
         "inflow_versus_outflow": _facts(
             lambda b: forecast_net(b, AS_OF).select("day_number", "total_inflow", "total_outflow")
         ),
@@ -261,10 +268,10 @@ def catalog() -> dict[str, Query]:
             lambda b: hist.lcr_drivers(forecast_hqla(b, AS_OF), forecast_net(b, AS_OF), 1, N_DAYS),
             busy=True,
         ),
-        "counterparties_by_type": _book(ask.counterparties_by_type),
+        "counterparties_by_type": _book(ask.counterparties_by_type, units=False),
         "hqla_first_30_days": _facts(lambda b: ask.hqla_over(forecast_hqla(b, AS_OF), 30), busy=True),
         "flows_by_unit": _book(ask.flows_by_unit),
-        "flows_by_counterparty_type": _book(ask.flows_by_counterparty_type),
+        "flows_by_counterparty_type": _book(ask.flows_by_counterparty_type, units=False),
         "flows_by_type": _facts(ask.flows_by_type),
         "flows_by_maturity_bucket": _facts(lambda b: ask.flows_by_bucket(b, AS_OF)),
         # Semantic model and data quality

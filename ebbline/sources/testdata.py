@@ -185,15 +185,18 @@ class StarSchema:
             F.to_date("o_orderdate").alias("position_date"),
         )
 
-    def cash_outflows(self, units: bool = True) -> DataFrame:
+    def cash_outflows(self, units: bool = True, counterparties: bool = True) -> DataFrame:
         lines = self.raw("lineitem")
         owner = []
-        if units:
-            owner = ["business_unit_id", F.col("o_custkey").cast("string").alias("counterparty_id")]
+        if units or counterparties:
             lines = lines.join(
                 self.raw("orders").select("o_orderkey", "o_custkey"),
                 F.col("l_orderkey") == F.col("o_orderkey"),
-            ).join(
+            )
+            owner.append(F.col("o_custkey").cast("string").alias("counterparty_id"))
+        if units:
+            owner.append(F.col("business_unit_id"))
+            lines = lines.join(
                 self.raw("customer").select("c_custkey", _unit("c_nationkey").alias("business_unit_id")),
                 F.col("o_custkey") == F.col("c_custkey"),
             )
@@ -207,20 +210,25 @@ class StarSchema:
             F.to_date("l_shipdate").alias("position_date"),
         )
 
-    def facts(self, units: bool = False) -> Book:
-        """The tables a baseline forecast reads, without lookups unless ``units``."""
+    def facts(self, units: bool = False, counterparties: bool = False) -> Book:
+        """The tables a baseline forecast reads, with the lookups that are asked for."""
         return Book(
             positions=self.positions(units),
             cash_inflows=self.cash_inflows(units),
-            cash_outflows=self.cash_outflows(units),
+            cash_outflows=self.cash_outflows(units, counterparties),
             asset_classifications=self.asset_classifications(),
         )
 
-    def book(self) -> Book:
-        """All model tables."""
+    def book(self, units: bool = True) -> Book:
+        """All model tables but the scenario rules."""
         return replace(
-            self.facts(units=True),
+            self.facts(units, counterparties=True),
             counterparty_data=self.counterparty_data(),
             business_unit_reference=self.business_unit_reference(),
-            what_if_definitions_lookup=self.what_if_definitions_lookup(),
+        )
+
+    def book_with_rules(self) -> Book:
+        """All model tables."""
+        return replace(
+            self.book(), what_if_definitions_lookup=self.what_if_definitions_lookup()
         )
