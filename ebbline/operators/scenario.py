@@ -147,7 +147,9 @@ class Scenarios:
     ) -> Scenarios:
         matched = {tbl.lower() for _, tbl, _, _ in FACTOR_KINDS.values()}
         used = {name: df for name, df in dims.items() if name in matched}
-        ids = tuple(str(i) for i in what_if_ids)
+        ids = tuple(dict.fromkeys(str(i) for i in what_if_ids))
+        if not ids:
+            raise ValueError("no scenario ids given")
         wanted = rules.filter(F.col("what_if_id").cast("string").isin(*ids))
         sized = {**used, "rules": wanted}
         small = frozenset(name for name, df in sized.items() if fits_broadcast(df))

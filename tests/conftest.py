@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -16,6 +17,7 @@ def local_session() -> SparkSession:
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="ebbline-warehouse-"))
         .config("spark.sql.maxMetadataStringLength", "1000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

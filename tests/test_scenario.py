@@ -140,6 +140,14 @@ def test_scenarios_together_equal_scenarios_alone(spark):
     assert together == alone and len(together) == 12
 
 
+def test_repeated_ids_run_once_and_none_is_an_error(spark):
+    b = book(spark, [("1", *CP, "REGION", "Europe", -0.1)])
+    once = {tuple(r) for r in run_what_if(b, ["1"], fx.NOON, 3).collect()}
+    assert {tuple(r) for r in run_what_if(b, ["1", "1"], fx.NOON, 3).collect()} == once
+    with pytest.raises(ValueError, match="no scenario ids"):
+        run_what_if(b, [], fx.NOON, 3)
+
+
 def test_join_without_broadcast_gives_the_same(spark, monkeypatch):
     b = book(spark, [("1", *CP, "REGION", "Europe", -0.1), ("1", *POS_UNIT, "REGION", "Asia", -0.2)])
     want = {tuple(r) for r in run_what_if(b, "1", fx.NOON, 5).collect()}

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from decimal import Decimal
 
 import pytest
@@ -10,7 +11,7 @@ from ebbline.sources import sample
 from ebbline.sources.inline import inline_table
 from ebbline.sources.reference import reference_table
 from ebbline.sources.schemas import SCHEMAS, conform
-from ebbline.sources.tables import fetch, overwrite, read_table, run_sql, snapshot
+from ebbline.sources.tables import append_run, fetch, overwrite, read_table, run_sql, snapshot
 
 TODAY = dt.date(2024, 5, 1)
 NOW = dt.datetime(2024, 5, 1, 8)
@@ -73,6 +74,23 @@ def test_tables_by_path_and_by_name(spark, tmp_path):
     assert read_table(spark, "units_by_name", "business_unit_reference").count() == 9
 
 
+def test_catalog_tables_are_replaced_and_appended_by_column_name(spark):
+    run = spark.createDataFrame(
+        [(Decimal(3), 1, Decimal(6), Decimal(2))],
+        "total_net_cash_outflows decimal(38,2), day_number int, hqla decimal(38,10), lcr decimal(38,12)",
+    )
+    name = f"lcr_{uuid.uuid4().hex}"
+    append_run(run, name, NOW)
+    append_run(run, name, NOW + dt.timedelta(hours=1))
+    stored = read_table(spark, name, "lcr")
+    assert {(r.created_timestamp, r.day_number, r.lcr) for r in stored.collect()} == {
+        (NOW, 1, Decimal(2)), (NOW + dt.timedelta(hours=1), 1, Decimal(2))
+    }
+    overwrite(run, name)
+    assert read_table(spark, name).count() == 1
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_sql_parameters_are_bound(spark):
     reference_table(spark, "what_if_definitions_lookup", NOW).createOrReplaceTempView("rules_sql")
     text = "SELECT count(*) AS n FROM rules_sql WHERE what_if_id = :id"
