@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import bpe, warc
+from ebbline.llm import bpe, lines, mixing, secrets, warc
 from ebbline.llm.common import documents, shared_folder
 
 
@@ -40,7 +40,28 @@ def bpe_digests(df: DataFrame) -> DataFrame:
     )
 
 
-QUERIES = {"op1_warc_bundles": op1_warc_bundles, "op2_bpe_round_trip": op2_bpe_round_trip}
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets and linked weak candidates of every text."""
+    return secrets.scan(documents(spark, sf_dir)).select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans"
+    )
+
+
+def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document the mix takes."""
+    docs = documents(spark, sf_dir).select("doc_id", "source", "text")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the later occurrences of repeated three-line windows."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return lines.dedup_lines(docs).select("doc_id", "removed_lines", "text")
+
+
+QUERIES = {
+    f.__name__: f for f in (op1_warc_bundles, op2_bpe_round_trip, op3_secret_scan, op6_source_mix, op9_line_dedup)
+}
 
 #: SQL of the queries that SQL can express.
 ORACLE = {
@@ -54,4 +75,22 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 1000 AND page_id <> last_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN payload_bytes >= 1000 AND page_id <> last_id THEN last_id END AS refers_to
 FROM q""",
+    "op9_line_dedup": """
+WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
+w AS (
+  SELECT doc_id, i, l[i] || chr(10) || l[i + 1] || chr(10) || l[i + 2] AS k
+  FROM (SELECT doc_id, l, unnest(range(1, len(l) - 1)) AS i FROM d)
+  WHERE trim(l[i] || l[i + 1] || l[i + 2]) <> ''),
+later AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS n FROM w) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, i + unnest([0, 1, 2]) AS i FROM later),
+kept AS (
+  SELECT d.doc_id, count(*) FILTER (g.i IS NOT NULL) AS removed_lines,
+         coalesce(string_agg(d.line, chr(10) ORDER BY d.i) FILTER (g.i IS NULL), '') AS text
+  FROM (SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS i FROM d) d
+  LEFT JOIN gone g ON g.doc_id = d.doc_id AND g.i = d.i GROUP BY d.doc_id)
+SELECT d.doc_id, CAST(coalesce(k.removed_lines, 0) AS BIGINT) AS removed_lines,
+       CASE WHEN k.removed_lines > 0 THEN k.text ELSE d.text END AS text
+FROM d LEFT JOIN kept k USING (doc_id)""",
 }
