@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import bpe, lines, mixing, secrets, warc
+from ebbline.llm import bpe, embeddings, lines, minhash, mixing, secrets, simhash, warc
 from ebbline.llm.common import documents, shared_folder
 
 
@@ -59,8 +59,33 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(docs).select("doc_id", "removed_lines", "text")
 
 
+def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and group of every document."""
+    return simhash.groups(documents(spark, sf_dir)).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
+def op8_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    return minhash.edited(documents(spark, sf_dir)).select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        minhash.shown(F.col("fp")).alias("fingerprint"),
+        minhash.shown(F.col("edited_fp")).alias("edited_fingerprint"),
+        minhash.likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
+        minhash.likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
+    )
+
+
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors."""
+    return embeddings.near_duplicates(documents(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
-    f.__name__: f for f in (op1_warc_bundles, op2_bpe_round_trip, op3_secret_scan, op6_source_mix, op9_line_dedup)
+    f.__name__: f for f in (op1_warc_bundles, op2_bpe_round_trip, op3_secret_scan, op4_simhash_groups, op6_source_mix, op8_minhash_fingerprints, op9_line_dedup, op10_embedding_dedup)
 }
 
 #: SQL of the queries that SQL can express.
