@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import bpe, embeddings, lines, minhash, mixing, secrets, simhash, warc
+from ebbline.llm import bpe, embeddings, lines, minhash, mixing, quality, secrets, simhash, toxicity, warc
 from ebbline.llm.common import documents, shared_folder
 
 
@@ -31,9 +31,10 @@ def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(bpe.decode(bpe.encode(docs, vocabulary), vocabulary))
 
 
-def bpe_digests(df: DataFrame) -> DataFrame:
+def bpe_digests(df: DataFrame, *more: str) -> DataFrame:
     return df.select(
         "doc_id",
+        *more,
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(bpe.joined(F.col("ids")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
@@ -47,6 +48,11 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality.classify(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document the mix takes."""
     docs = documents(spark, sf_dir).select("doc_id", "source", "text")
@@ -66,6 +72,11 @@ def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.classify(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
 def op8_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and their likeness."""
     return minhash.edited(documents(spark, sf_dir)).select(
@@ -85,7 +96,19 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f for f in (op1_warc_bundles, op2_bpe_round_trip, op3_secret_scan, op4_simhash_groups, op6_source_mix, op8_minhash_fingerprints, op9_line_dedup, op10_embedding_dedup)
+    f.__name__: f
+    for f in (
+        op1_warc_bundles,
+        op2_bpe_round_trip,
+        op3_secret_scan,
+        op4_simhash_groups,
+        op5_quality,
+        op6_source_mix,
+        op7_toxicity,
+        op8_minhash_fingerprints,
+        op9_line_dedup,
+        op10_embedding_dedup,
+    )
 }
 
 #: SQL of the queries that SQL can express.
