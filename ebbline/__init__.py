@@ -1,8 +1,7 @@
 """Ebbline: liquidity-coverage analytics expressed as Spark DataFrame plans.
 
 Every public operator takes DataFrames and returns a DataFrame.  Nothing is
-executed until the caller asks for it, apart from row counts of dimension tables
-that decide whether a broadcast is safe.
+executed until the caller asks for it.
 """
 
 from ebbline.plans.jobs import Book, forecast_job, run_forecast, run_what_if, what_if_job

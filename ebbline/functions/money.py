@@ -10,21 +10,41 @@ from pyspark.sql import types as T
 
 # Stored money, per-position value after haircut, daily totals, ratio.
 MONEY = T.DecimalType(20, 2)
-DETAIL = T.DecimalType(20, 6)
+DETAIL = T.DecimalType(24, 6)
 TOTAL = T.DecimalType(38, 2)
 STORED_HQLA = T.DecimalType(38, 10)
 RATIO = T.DecimalType(38, 12)
 
-# One rule's factor is kept at two decimals; products of rules at twelve.
-# MONEY x FACTOR needs exactly 38 digits, so stressed amounts are never rounded
-# before their final cast to cents.
+# One rule's factor is kept at two decimals; products of rules at twelve.  FACTOR times
+# RULE_FACTOR needs 36 digits, so no product overflows before its cast is checked.
 RULE_FACTOR = T.DecimalType(12, 2)
-FACTOR = T.DecimalType(17, 12)
+FACTOR = T.DecimalType(23, 12)
 
 DECAY_SCALE = 16
 
-# Divisor operands wide enough for 10^22 USD whose quotient still has 14 decimals.
+# Operands below this many USD are divided as decimals, whose quotient has 14 decimals;
+# larger ones as doubles, which hold a ratio to 15 digits.
 _RATIO_OPERAND = T.DecimalType(24, 2)
+_RATIO_LIMIT = Decimal(10) ** 22
+
+
+def fitted(value: Column, to: T.DecimalType, what: str) -> Column:
+    """Cast that fails the query if the value doesn't fit, whatever the ANSI setting."""
+    cast = value.try_cast(to)
+    lost = F.raise_error(F.lit(f"{what} doesn't fit {to.simpleString()}")).cast(to)
+    return F.when(value.isNotNull() & cast.isNull(), lost).otherwise(cast)
+
+
+def times_factor(amount: Column, factor: Column) -> Column:
+    """Money times a factor, rounded half-up to cents from the exact product.
+
+    The whole and the fractional part of the factor have its sign and are multiplied
+    apart, each exactly; the first product has no part of a cent.
+    """
+    whole = F.when(factor < 0, F.ceil(factor)).otherwise(F.floor(factor)).cast("decimal(11,0)")
+    part = (factor - whole).cast("decimal(12,12)")
+    usd = amount.cast(MONEY)
+    return fitted(usd * whole + (usd * part).cast("decimal(22,2)"), MONEY, "stressed amount")
 
 
 def decay_curve(decay: float, n_days: int) -> list[Decimal]:
@@ -35,9 +55,12 @@ def decay_curve(decay: float, n_days: int) -> list[Decimal]:
 
 
 def after_haircut(value: Column, haircut_percent: Column) -> Column:
-    """Position value net of its haircut; exact, because 2 + 4 decimals fit in 6."""
+    """Position value net of its haircut; exact, because 2 + 4 decimals fit in 6.
+
+    Any stored money fits: 18 digits before the point, three more for a negative haircut.
+    """
     kept = (F.lit(100) - haircut_percent.cast("decimal(5,2)")) * F.lit(Decimal("0.01"))
-    return (value.cast(MONEY) * kept).cast(DETAIL)
+    return (value.cast(MONEY) * kept.cast("decimal(8,4)")).cast(DETAIL)
 
 
 def coverage_ratio(hqla: Column, outflows: Column, on_zero: str = "raise") -> Column:
@@ -48,10 +71,12 @@ def coverage_ratio(hqla: Column, outflows: Column, on_zero: str = "raise") -> Co
     """
     if on_zero not in ("raise", "null"):
         raise ValueError(f"on_zero must be 'raise' or 'null', not {on_zero!r}")
-    top, bottom = hqla.cast(_RATIO_OPERAND), outflows.cast(_RATIO_OPERAND)
+    limit = F.lit(_RATIO_LIMIT).cast(TOTAL)
     if on_zero == "null":
-        bottom = F.nullif(bottom, F.lit(0).cast(_RATIO_OPERAND))
-    return F.round(top / bottom, 8).cast(RATIO)
+        outflows = F.nullif(outflows, F.lit(0).cast(TOTAL))
+    exact = F.round(hqla.cast(_RATIO_OPERAND) / outflows.cast(_RATIO_OPERAND), 8).cast(RATIO)
+    wide = F.round(hqla.cast("double") / outflows.cast("double"), 8).cast(RATIO)
+    return F.when((F.abs(hqla) < limit) & (F.abs(outflows) < limit), exact).otherwise(wide)
 
 
 def decay_in_cents(curve: list[Decimal]) -> Column:
@@ -67,11 +92,14 @@ def decay_exact(curve: list[Decimal]) -> Column:
 # Below this value a double product is known to 0.0004 cents, so its rounding to
 # cents is certain unless it lies within _TIE_BAND of half a cent.
 _DOUBLE_SAFE_USD = 1.0e10
+# Cents of smaller values fit a long.
+_LONG_SAFE_USD = Decimal(10) ** 16
 _TIE_BAND = 1.0e-3
 
 
 def with_cents(rows: DataFrame, curve: list[Decimal], cents: str) -> DataFrame:
-    """Add ``value * decay(day_number)`` rounded half-up to whole cents, as a long.
+    """Add ``value * decay(day_number)`` rounded half-up to whole cents, as a long, and
+    ``large``, the same as a decimal for the values that a long may not hold.
 
     ``rows`` has ``value`` (decimal), ``day_number`` and ``rate``, the day's element of
     :func:`decay_in_cents`.  Equal to casting the decimal product to two decimals, but
@@ -87,5 +115,21 @@ def with_cents(rows: DataFrame, curve: list[Decimal], cents: str) -> DataFrame:
     )
     rounded = F.col("whole") + F.when(part > 0.5, F.lit(1)).otherwise(F.lit(0))
     decay = F.element_at(decay_exact(curve), F.col("day_number"))
-    by_decimal = ((F.col("value") * decay).cast(TOTAL) * F.lit(100)).cast("long")
-    return split.withColumn(cents, F.when(certain, rounded).otherwise(by_decimal))
+    by_decimal = (_exact_cents(F.col("value"), decay) * F.lit(100)).cast("decimal(38,0)")
+    fits = F.abs("value") < F.lit(_LONG_SAFE_USD)
+    small = F.when(certain, rounded).when(fits, by_decimal.cast("long")).otherwise(F.lit(0))
+    return split.withColumn(cents, small).withColumn("large", F.when(~fits & ~certain, by_decimal))
+
+
+def _exact_cents(value: Column, decay: Column) -> Column:
+    """``value * decay`` rounded half-up to cents without an inexact step.
+
+    Whole USD and the rest have the value's sign.  The first product is cut to cents, and
+    what is cut joins the second before it is rounded.
+    """
+    usd = F.when(value < 0, F.ceil(value)).otherwise(F.floor(value)).cast("decimal(18,0)")
+    product = usd * decay  # decimal(36,16)
+    positive = F.abs(product)
+    cut = F.signum(product.cast("double")).cast("decimal(1,0)") * (F.floor(positive * F.lit(100).cast("decimal(3,0)")).cast("decimal(22,0)") * F.lit(Decimal("0.01"))).cast("decimal(23,2)")
+    rest = (product - cut).cast("decimal(18,16)") + ((value - usd).cast("decimal(6,6)") * decay).cast("decimal(24,22)")
+    return (cut + rest.cast("decimal(5,2)")).cast(TOTAL)

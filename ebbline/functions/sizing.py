@@ -1,34 +1,19 @@
-"""Deciding when a join side may be broadcast and when rows must be spread."""
+"""When rows of a small file are spread over the cores."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# A dimension row here is well under 200 bytes, so this is about 20 MB.
+# A top-k of at most so many rows is broadcast.
 MAX_BROADCAST_ROWS = 100_000
 
 
-def fits_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Count the rows of a dimension.  Over Parquet this reads footers only."""
-    return dim.count() <= max_rows
-
-
-def lookup_side(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``dim`` if its counted rows fit, else leave the join to the planner.
-
-    In the second case Spark plans a sort-merge join and adaptive execution splits
-    skewed partitions, so a hot key costs more tasks rather than a lost executor.
-    """
-    return F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
-
-
 def spread(scan: DataFrame, *columns: str) -> DataFrame:
     """Hash rows over all cores if a file scan has fewer splits than there are cores.
 
-    Meant for small files, whose single split would keep all but one core idle; hash on
-    columns that are read anyway.  A large table has far more splits than the cluster
-    has cores, and is returned as it is, without a shuffle.
+    Meant for small files of one row group, whose single split would keep all but one
+    core idle; hash on columns that are read anyway.  A scan with as many splits as cores
+    is returned as it is.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
     few = scan.rdd.getNumPartitions() < cores

@@ -15,9 +15,16 @@ SERIES = ("day_number", "total_net_cash_outflows", "hqla", "lcr")
 
 
 def latest_run(history: DataFrame) -> DataFrame:
-    """Rows of the newest run of a history."""
-    newest = history.agg(F.max("created_timestamp").alias("created_timestamp"))
-    return history.join(F.broadcast(newest), "created_timestamp", "left_semi")
+    """Rows of the newest run of a history; of runs made at one instant, that of the largest id."""
+    newest = history.agg(F.max(F.struct("created_timestamp", "run_id")).alias("newest"))
+    return history.join(F.broadcast(newest), _same_run(), "left_semi")
+
+
+def _same_run() -> Column:
+    """Whether a row is of the run ``newest``; runs without id are one run per instant."""
+    return (F.col("created_timestamp") == F.col("newest.created_timestamp")) & F.col("run_id").eqNullSafe(
+        F.col("newest.run_id")
+    )
 
 
 def latest_run_per_scenario(history: DataFrame) -> DataFrame:
@@ -26,10 +33,8 @@ def latest_run_per_scenario(history: DataFrame) -> DataFrame:
     The newest stamps are as many as scenarios; they are joined without a hint, so the
     planner decides by their size.
     """
-    newest = history.groupBy("what_if_id").agg(
-        F.max("created_timestamp").alias("created_timestamp")
-    )
-    return history.join(newest, ["what_if_id", "created_timestamp"], "left_semi")
+    newest = history.groupBy(F.col("what_if_id").alias("of")).agg(F.max(F.struct("created_timestamp", "run_id")).alias("newest"))
+    return history.join(newest, (F.col("what_if_id") == F.col("of")) & _same_run(), "left_semi")
 
 
 def latest_lcr(history: DataFrame) -> DataFrame:
@@ -80,8 +85,7 @@ def lcr_change_analysis(history: DataFrame, horizon: int = 150) -> DataFrame:
 
     The window has no partition key, yet holds one run: at most ``horizon`` rows.
     """
-    newest = history.agg(F.max("created_timestamp")).scalar()
-    run = within(history, horizon).filter(F.col("created_timestamp") == newest)
+    run = within(latest_run(history), horizon)
     return _changes(run, W.orderBy("day_number")).orderBy("day_number")
 
 

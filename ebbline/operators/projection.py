@@ -27,7 +27,6 @@ from ebbline.functions.money import (
     decay_in_cents,
     with_cents,
 )
-from ebbline.functions.sizing import lookup_side
 
 N_DAYS = 150
 BASELINE_DECAY = 0.9999
@@ -53,7 +52,7 @@ def hqla_detail(
     classes = asset_classes.select(
         "security_type", "haircut_percent", *[c for c in from_classes if c != "security_type"]
     )
-    return held.join(lookup_side(classes), "security_type").select(
+    return held.join(classes, "security_type").select(
         *by,
         "maturity_date",
         after_haircut(F.col("position_value_usd"), F.col("haircut_percent")).alias(
@@ -89,6 +88,7 @@ def hqla_daily(
     per_task = cents.groupBy(*by, "day_number", "task").agg(
         F.sum(F.shiftright("cents", _LOW_BITS)).alias("high"),
         F.sum(F.col("cents").bitwiseAND(F.lit(2**_LOW_BITS - 1))).alias("low"),
+        F.sum("large").alias("large"),
     )
     usd = (
         (
@@ -96,7 +96,7 @@ def hqla_daily(
             + F.col("low").cast("decimal(20,0)")
         )
         * F.lit(Decimal("0.01"))
-    ).cast("decimal(28,2)")
+    ).cast("decimal(28,2)") + (F.coalesce("large", F.lit(0)).cast("decimal(32,0)") * F.lit(Decimal("0.01"))).cast("decimal(34,2)")
     return (
         per_task.select(*by, "day_number", usd.alias("usd"))
         .select(*by, "usd", F.explode(_spine(n_days)).alias("day_number"))
@@ -159,7 +159,7 @@ def hqla_projection(
 ) -> DataFrame:
     """Row-level wide table: the detail columns and one decayed column per day."""
     lives = live_days(F.col("maturity_date"), as_of, n_days, POSITION)
-    value = "CAST(total_hqla_usd AS DECIMAL(20,6))"
+    value = "CAST(total_hqla_usd AS DECIMAL(24,6))"
     return (
         detail.withColumn("live_days", lives)
         .selectExpr(

@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.functions.sizing import lookup_side
 from ebbline.operators.semantic import MODEL, RELATIONSHIPS, VERIFIED_QUERIES
 from ebbline.sources.schemas import missing_and_extra
 
@@ -106,9 +105,7 @@ def orphan_rows(tables: dict[str, DataFrame], relationship: str) -> DataFrame:
     left, right = tables[link.left], tables[link.right].select(
         F.col(link.right_column).alias("partner")
     )
-    return left.join(
-        lookup_side(right), F.col(link.left_column) == F.col("partner"), "left_anti"
-    )
+    return left.join(right, F.col(link.left_column) == F.col("partner"), "left_anti")
 
 
 def check_relationships(tables: dict[str, DataFrame]) -> DataFrame:
@@ -177,6 +174,20 @@ def missing_fields(tables: dict[str, DataFrame]) -> DataFrame:
     return _union(parts)
 
 
+def reconcile_days(row_daily: DataFrame, daily: DataFrame, total: str, name: str) -> DataFrame:
+    """Daily totals summed row by row against those of the daily route, day by day."""
+    rows = row_daily.select("day_number", F.col(total).alias("row_total"))
+    gap = F.col("row_total") - F.col("day_total")
+    return rows.join(daily.select("day_number", F.col(total).alias("day_total")), "day_number", "full").select(
+        F.lit(name).alias("object"),
+        "day_number",
+        "row_total",
+        "day_total",
+        gap.alias("difference"),
+        F.when(gap == 0, "PASS").otherwise("FAIL").alias("status"),
+    )
+
+
 def reconcile(row_total: DataFrame, day_total: DataFrame, name: str) -> DataFrame:
     """Sum of the live rows against one day of the daily totals.
 

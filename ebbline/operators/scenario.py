@@ -8,8 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.functions.money import FACTOR, MONEY, RULE_FACTOR
-from ebbline.functions.sizing import fits_broadcast
+from ebbline.functions.money import FACTOR, RULE_FACTOR, fitted, times_factor
 
 
 def _matches(
@@ -20,7 +19,6 @@ def _matches(
     ref_tbl: str,
     tbl: str,
     what_if_ids: Sequence[str],
-    small_rules: bool,
 ) -> DataFrame:
     """(id, what_if_id, factor, times): each rule factor an entity collects.
 
@@ -36,13 +34,13 @@ def _matches(
     ).select(
         F.col("what_if_id").cast("string").alias("what_if_id"),
         "val",
-        (F.col("factor") + F.lit(1)).cast(RULE_FACTOR).alias("factor"),
+        fitted(F.col("factor") + F.lit(1), RULE_FACTOR, "rule factor").alias("factor"),
     )
     values = dim.select(
         id_col, F.explode(F.array_distinct(F.array(*match_cols))).alias("val")
     )
     return (
-        values.join(F.broadcast(wanted) if small_rules else wanted, "val")
+        values.join(wanted, "val")
         .groupBy(id_col, "what_if_id", "factor")
         .agg(F.count(F.lit(1)).alias("times"))
     )
@@ -53,13 +51,13 @@ def _product(factors: Column) -> Column:
 
     def power(entry: Column) -> Column:
         once = entry["factor"].cast(FACTOR)
-        many = F.round(F.pow(entry["factor"].cast("double"), entry["times"]), 12).cast(FACTOR)
+        many = fitted(F.round(F.pow(entry["factor"].cast("double"), entry["times"]), 12), FACTOR, "factor")
         return F.when(entry["times"] == 1, once).otherwise(many)
 
     return F.aggregate(
         F.sort_array(factors),
         F.lit(1).cast(FACTOR),
-        lambda acc, entry: (acc * power(entry)).cast(FACTOR),
+        lambda acc, entry: fitted(acc * power(entry), FACTOR, "factor"),
     )
 
 
@@ -74,15 +72,13 @@ def scenario_factors(
 ) -> DataFrame:
     """(what_if_id, id, factor) for the entities that at least one rule hits."""
     return (
-        _matches(
-            dim, rules, id_col, match_cols, ref_tbl, tbl, what_if_ids, fits_broadcast(rules)
-        )
+        _matches(dim, rules, id_col, match_cols, ref_tbl, tbl, what_if_ids)
         .groupBy("what_if_id", id_col)
         .agg(_product(F.collect_list(F.struct("factor", "times"))).alias("factor"))
     )
 
 
-# Where the five factor kinds come from: the fact or dimension a rule is filed under,
+# Where the five factor kinds come from: the fact or dimension a rule is filed under,
 # the dimension it matches, that dimension's key and its matchable columns.
 FACTOR_KINDS = {
     "inflow_unit": (
@@ -125,21 +121,13 @@ def factors_of_kind(
     )
 
 
-# Tasks that one entity's facts are spread over where its factors are not broadcast.
-SALTS = 32
-
-
 @dataclass(frozen=True)
 class Scenarios:
-    """Dimensions and rules of a run, with their counted sizes.
-
-    ``small`` names the tables that fit a broadcast; each is counted once per run.
-    """
+    """Dimensions and rules of a run."""
 
     dims: dict[str, DataFrame]
     rules: DataFrame
     what_if_ids: tuple[str, ...]
-    small: frozenset[str]
 
     @classmethod
     def of(
@@ -151,16 +139,13 @@ class Scenarios:
         if not ids:
             raise ValueError("no scenario ids given")
         wanted = rules.filter(F.col("what_if_id").cast("string").isin(*ids))
-        sized = {**used, "rules": wanted}
-        small = frozenset(name for name, df in sized.items() if fits_broadcast(df))
-        return cls(used, wanted, ids, small)
+        return cls(used, wanted, ids)
 
     def factor_columns(self, kind: str) -> tuple[str, DataFrame]:
         """One row per entity with one factor column per scenario."""
         ref_tbl, tbl, id_col, match_cols = FACTOR_KINDS[kind]
         hits = _matches(
-            self.dims[tbl.lower()], self.rules, id_col, match_cols, ref_tbl, tbl,
-            self.what_if_ids, "rules" in self.small,
+            self.dims[tbl.lower()], self.rules, id_col, match_cols, ref_tbl, tbl, self.what_if_ids
         )
         table = hits.groupBy(id_col).agg(
             *[
@@ -174,21 +159,16 @@ class Scenarios:
         )
         return id_col, table
 
-    def join_factors(self, fact: DataFrame, kind: str, spread_by: Sequence[str]) -> DataFrame:
+    def join_factors(self, fact: DataFrame, kind: str) -> DataFrame:
         """Left join of a fact with the factor columns of one kind.
 
-        The factor table has at most one row per dimension row, so the dimension's
-        counted size bounds it and decides the broadcast.  Beyond that both sides are
-        shuffled; the fact's rows are salted by their own values and the factor rows
-        repeated for every salt, so one entity holding much of the fact is shared out
-        over SALTS tasks.
+        The factor table has one row per entity that a rule hits.  Adaptive execution
+        broadcasts it if its measured bytes allow; else it splits the fact's partitions
+        that hold a hot entity and reads the entity's one row with each part, however
+        alike the fact's rows are.
         """
         id_col, table = self.factor_columns(kind)
-        if FACTOR_KINDS[kind][1].lower() in self.small:
-            return fact.join(F.broadcast(table), id_col, "left")
-        salt = F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int")
-        repeated = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        return fact.withColumn("salt", salt).join(repeated, [id_col, "salt"], "left").drop("salt")
+        return fact.join(table, id_col, "left")
 
 
 def apply_factors(
@@ -201,13 +181,13 @@ def apply_factors(
     """
     joined, columns = fact, fact.columns
     for kind in kinds:
-        joined = scenarios.join_factors(joined, kind, (amount_col, "maturity_date"))
+        joined = scenarios.join_factors(joined, kind)
     one = F.lit(1).cast(FACTOR)
 
     def combined(n: int) -> Column:
         total = one
         for kind in kinds:
-            total = (total * F.coalesce(F.col(f"{kind}_{n}"), one)).cast(FACTOR)
+            total = fitted(total * F.coalesce(F.col(f"{kind}_{n}"), one), FACTOR, "factor")
         return total
 
     per_scenario = F.array(
@@ -217,7 +197,7 @@ def apply_factors(
         ]
     )
     stressed = joined.select(*columns, F.explode(per_scenario).alias("scenario"))
-    amount = (F.col(amount_col).cast(MONEY) * F.col("scenario.factor")).cast(MONEY)
+    amount = times_factor(F.col(amount_col), F.col("scenario.factor"))
     return stressed.select(
         F.col("scenario.what_if_id").alias("what_if_id"),
         *[amount.alias(c) if c == amount_col else F.col(c) for c in columns],

@@ -103,7 +103,7 @@ RELATIONSHIPS: tuple[Relationship, ...] = (
                  "business_unit_id", "business_unit_id"),
 )
 
-# Queries whose answer has been verified, over the baseline run history.
+# Fixed values (titles): queries whose answer has been verified, over the baseline run history.
 VERIFIED_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "What is the liquidity coverage ratio trend over time?": latest_lcr,
     "What is contributing to the increase in LCR over the next 150 days?": lcr_change_analysis,

@@ -7,15 +7,13 @@ client can compare the results.
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
-import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ebbline.functions.calendar import CASH_FLOW, POSITION, instant
+from ebbline.functions.calendar import instant
 from ebbline.operators import history as hist
 from ebbline.operators import quality
 from ebbline.operators.projection import (
@@ -26,11 +24,11 @@ from ebbline.operators.projection import (
     hqla_projection,
     wide_summary,
 )
-from ebbline.operators.scenario import FACTOR_KINDS, STRESSED_FACTS, apply_scenario, factors_of_kind
+from ebbline.operators.scenario import FACTOR_KINDS, apply_scenario, factors_of_kind
 from ebbline.operators.semantic import semantic_query
 from ebbline.plans import questions as ask
 from ebbline.plans.jobs import Book, forecast_hqla, forecast_net, run_forecast, run_what_if
-from ebbline.sources.tables import append_run, read_table
+from ebbline.sources.tables import stamp_run
 from ebbline.sources.testdata import AS_OF, StarSchema
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,34 +52,34 @@ def present(df: DataFrame) -> DataFrame:
     return df.select(*[shown(f) for f in df.schema.fields])
 
 
-def scratch_table(spark: SparkSession, name: str) -> str:
-    """Path of a new table in the cluster's shared checkpoint folder.
-
-    A temporary folder stands in for it on a local master only, as in tests.
-    """
-    context = spark.sparkContext
-    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not shared:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="ebbline-")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+def baseline_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A baseline run of a week ago and one of now."""
+    facts = StarSchema(spark, sf_dir, busy=True).facts()
+    runs = [
+        stamp_run(run_forecast(facts, as_of), as_of, "lcr", run_id)
+        for as_of, run_id in ((EARLIER, "first"), (AS_OF, "second"))
+    ]
+    return runs[0].unionByName(runs[1])
 
 
-def baseline_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two baseline runs, a week apart, appended to a run table and read back."""
-    facts, path = StarSchema(spark, sf_dir, busy=True).facts(), scratch_table(spark, "lcr")
-    for as_of in (EARLIER, AS_OF):
-        append_run(run_forecast(facts, as_of), path, as_of)
-    return read_table(spark, path, "lcr")
+def repeated_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two baseline runs made at one instant: the second values a week earlier."""
+    facts = StarSchema(spark, sf_dir, busy=True).facts()
+    runs = [
+        stamp_run(run_forecast(facts, as_of), AS_OF, "lcr", run_id)
+        for as_of, run_id in ((AS_OF, "a"), (EARLIER, "b"))
+    ]
+    return runs[0].unionByName(runs[1])
 
 
 def scenario_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scenario 1 a week ago, scenarios 1 and 2 now."""
-    book, path = StarSchema(spark, sf_dir, busy=True).book_with_rules(), scratch_table(spark, "what-if-lcr")
-    for as_of, ids in ((EARLIER, ("1",)), (AS_OF, ("1", "2"))):
-        append_run(run_what_if(book, ids, as_of), path, as_of, "what_if_lcr")
-    return read_table(spark, path, "what_if_lcr")
+    book = StarSchema(spark, sf_dir, busy=True).book_with_rules()
+    runs = [
+        stamp_run(run_what_if(book, ids, as_of), as_of, "what_if_lcr", run_id)
+        for as_of, ids, run_id in ((EARLIER, ("1",), "first"), (AS_OF, ("1", "2"), "second"))
+    ]
+    return runs[0].unionByName(runs[1])
 
 
 def _facts(build: Callable[[Book], DataFrame], busy: bool = False) -> Query:
@@ -123,13 +121,10 @@ def _detail(book: Book) -> DataFrame:
     return hqla_detail(book.positions, book.asset_classifications, AS_OF)
 
 
-def _stressed(name: str, key: str) -> Query:
+def _stressed(name: str) -> Query:
     def build(book: Book) -> DataFrame:
         tables = book.tables()
-        stressed = apply_scenario(
-            {name: tables[name]}, tables, book.what_if_definitions_lookup, ["1"]
-        )[name]
-        return stressed.select("what_if_id", key, STRESSED_FACTS[name][0])
+        return apply_scenario({name: tables[name]}, tables, book.what_if_definitions_lookup, SCENARIOS)[name]
 
     return _scenario(build)
 
@@ -142,38 +137,27 @@ def _factors(kind: str) -> Query:
 
 def _compare(days: Sequence[int] = ()) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        baseline = run_forecast(StarSchema(spark, sf_dir, busy=True).facts(), AS_OF)
-        latest = hist.latest_run_per_scenario(scenario_history(spark, sf_dir))
-        compared = hist.compare_runs(baseline, latest)
+        schema = StarSchema(spark, sf_dir, busy=True)
+        baseline, scenarios = run_forecast(schema.facts(), AS_OF), run_what_if(schema.book_with_rules(), ("1", "2"), AS_OF)
+        compared = hist.compare_runs(baseline, scenarios)
         return present(hist.on_days(compared, *days) if days else compared)
 
     return run
 
 
 def _reconciliation(book: Book) -> DataFrame:
-    detail = _detail(book)
+    hqla = "total_hqla_usd"
     parts = [
-        quality.reconcile(
-            ask.live_total(detail, "total_hqla_usd", AS_OF, POSITION),
-            ask.day_total(forecast_hqla(book, AS_OF), "total_hqla_usd"),
-            "hqla",
+        quality.reconcile_days(
+            wide_summary(hqla_projection(_detail(book), AS_OF), hqla, hqla), forecast_hqla(book, AS_OF), hqla, "hqla"
         )
     ]
     for side, flows in (("inflow", book.cash_inflows), ("outflow", book.cash_outflows)):
-        parts.append(
-            quality.reconcile(
-                ask.live_total(flows, f"{side}_amount_usd", AS_OF, CASH_FLOW),
-                ask.day_total(cashflow_daily(flows, side, AS_OF), f"total_{side}"),
-                side,
-            )
-        )
+        rows = wide_summary(cashflow_projection(flows, side, AS_OF), f"{side}_stock", f"total_{side}")
+        parts.append(quality.reconcile_days(rows, cashflow_daily(flows, side, AS_OF), f"total_{side}", side))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def _fact_tables(book: Book) -> dict[str, DataFrame]:
-    return {name: df for name, df in book.tables().items() if name in STRESSED_FACTS}
-
-
 def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = StarSchema(spark, sf_dir, busy=True).book_with_rules()
     baseline = baseline_history(spark, sf_dir)
@@ -197,7 +181,7 @@ def catalog() -> dict[str, Query]:
     return {
         # Projection, netting, ratio
         "hqla_detail": _facts(_detail),
-        "hqla_projection_wide": _facts(lambda b: hqla_projection(_detail(b), AS_OF, 30)),
+        "hqla_projection_wide": _facts(lambda b: hqla_projection(_detail(b), AS_OF)),
         "hqla_summary": _facts(lambda b: forecast_hqla(b, AS_OF), busy=True),
         "hqla_summary_from_wide": _facts(
             lambda b: wide_summary(
@@ -207,10 +191,10 @@ def catalog() -> dict[str, Query]:
         ),
         "hqla_summary_by_level": _facts(lambda b: forecast_hqla(b, AS_OF, by=("hqla_level",)), busy=True),
         "cash_inflow_projection_wide": _book(
-            lambda b: cashflow_projection(b.cash_inflows, "inflow", AS_OF, 7)
+            lambda b: cashflow_projection(b.cash_inflows, "inflow", AS_OF)
         ),
         "cash_outflow_projection_wide": _book(
-            lambda b: cashflow_projection(b.cash_outflows, "outflow", AS_OF, 7)
+            lambda b: cashflow_projection(b.cash_outflows, "outflow", AS_OF)
         ),
         "cash_inflow_daily": _facts(lambda b: cashflow_daily(b.cash_inflows, "inflow", AS_OF)),
         "cash_outflow_daily": _facts(lambda b: cashflow_daily(b.cash_outflows, "OUTFLOW", AS_OF)),
@@ -228,9 +212,9 @@ def catalog() -> dict[str, Query]:
         "lcr_baseline_with_units": _book(lambda b: run_forecast(b, AS_OF), busy=True),
         # Scenarios
         **{f"factors_{kind}": _factors(kind) for kind in FACTOR_KINDS},
-        "stressed_inflows": _stressed("cash_inflows", "inflow_id"),
-        "stressed_outflows": _stressed("cash_outflows", "outflow_id"),
-        "stressed_positions": _stressed("positions", "position_id"),
+        "stressed_inflows": _stressed("cash_inflows"),
+        "stressed_outflows": _stressed("cash_outflows"),
+        "stressed_positions": _stressed("positions"),
         "lcr_what_if": _scenario(lambda b: run_what_if(b, "1", AS_OF), busy=True),
         "lcr_what_if_all": _scenario(lambda b: run_what_if(b, SCENARIOS, AS_OF), busy=True),
         # History
@@ -240,6 +224,9 @@ def catalog() -> dict[str, Query]:
         "what_if_change_analysis": _scenario_history(
             lambda h: _changes(hist.what_if_change_analysis(h))
         ),
+        "latest_of_equal_stamps": lambda spark, sf_dir: present(
+            _changes(hist.lcr_change_analysis(repeated_history(spark, sf_dir)))
+        ),
         "headline": _history(lambda h: hist.headline(hist.latest_lcr(h))),
         # Scenario definitions
         "scenario_definitions": _rules(ask.scenario_definitions),
@@ -305,7 +292,7 @@ def catalog() -> dict[str, Query]:
                 "position_id", "security_type", "position_value_usd"
             )
         ),
-        "missing_fields": _book(lambda b: quality.missing_fields(_fact_tables(b))),
+        "missing_fields": _scenario(lambda b: quality.missing_fields(b.tables())),
         "reconciliation": _facts(_reconciliation, busy=True),
         "quality_report": lambda spark, sf_dir: present(_report(spark, sf_dir)),
         "quality_summary": lambda spark, sf_dir: present(

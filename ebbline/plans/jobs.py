@@ -118,6 +118,10 @@ def run_what_if(
     )
 
 
+def _now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
 def forecast_job(
     spark: SparkSession,
     sources: Mapping[str, str],
@@ -126,10 +130,15 @@ def forecast_job(
     n_days: int = N_DAYS,
     decay: float = BASELINE_DECAY,
     run_id: str | None = None,
+    created: dt.datetime | None = None,
 ) -> DataFrame:
-    """Read the tables, append one baseline run to ``target``, return the latest trend."""
+    """Read the tables, append one baseline run to ``target``, return the latest trend.
+
+    ``created`` is the instant of the run in UTC, now if not given; several runs may value
+    the same ``as_of``.
+    """
     result = run_forecast(Book.read(spark, sources), as_of, n_days, decay)
-    append_run(result, target, as_of, "lcr", run_id)
+    append_run(result, target, created or _now(), "lcr", run_id)
     return latest_lcr(read_table(spark, target, "lcr"))
 
 
@@ -142,8 +151,9 @@ def what_if_job(
     n_days: int = N_DAYS,
     decay: float = SCENARIO_DECAY,
     run_id: str | None = None,
+    created: dt.datetime | None = None,
 ) -> DataFrame:
     """As :func:`forecast_job` for scenarios; returns the latest run of each."""
     result = run_what_if(Book.read(spark, sources), what_if_ids, as_of, n_days, decay)
-    append_run(result, target, as_of, "what_if_lcr", run_id)
+    append_run(result, target, created or _now(), "what_if_lcr", run_id)
     return latest_run_per_scenario(read_table(spark, target, "what_if_lcr"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ebbline.functions.calendar import CASH_FLOW, maturity_bucket, survives
 from ebbline.functions.money import TOTAL
-from ebbline.functions.sizing import MAX_BROADCAST_ROWS, lookup_side
+from ebbline.functions.sizing import MAX_BROADCAST_ROWS
 from ebbline.operators.projection import hqla_detail
 from ebbline.plans.jobs import Book
 
@@ -27,7 +27,7 @@ def hqla_by_unit(book: Book, as_of: dt.datetime, k: int | None = None) -> DataFr
     """
     sums = hqla_by(book, as_of, "business_unit_id")
     names = book.business_unit_reference.select("business_unit_id", "business_unit_name")
-    named = sums.join(lookup_side(names), "business_unit_id").select(
+    named = sums.join(names, "business_unit_id").select(
         "business_unit_id", "business_unit_name", "hqla_usd"
     )
     return _top(named, "hqla_usd", "business_unit_id", k=k)

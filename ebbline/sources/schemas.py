@@ -94,6 +94,7 @@ SCHEMAS: dict[str, T.StructType] = {
     "lcr": T.StructType(
         [
             T.StructField("created_timestamp", T.TimestampNTZType()),
+            T.StructField("run_id", T.StringType()),
             T.StructField("day_number", T.IntegerType()),
             T.StructField("total_net_cash_outflows", TOTAL),
             T.StructField("hqla", STORED_HQLA),

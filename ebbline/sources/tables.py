@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,16 +44,13 @@ def snapshot(spark: SparkSession, source: str, target: str) -> DataFrame:
 def stamp_run(
     result: DataFrame, created: dt.datetime, table: str, run_id: str | None = None
 ) -> DataFrame:
-    """Run result with its creation time, in the declared column order of ``table``.
+    """Run result with its creation time and id, in the declared column order of ``table``.
 
-    ``run_id`` keeps the rows of concurrent runs apart in one table, where separate
-    temporary tables per run would otherwise be needed.
+    ``run_id`` keeps apart the rows of runs made at one instant; it is random if not given.
     """
-    stamped = result.withColumn("created_timestamp", instant(created))
+    stamped = result.withColumn("created_timestamp", instant(created)).withColumn("run_id", F.lit(run_id or uuid.uuid4().hex))
     names = SCHEMAS[table].fieldNames()
     columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[table].fields]
-    if run_id is not None:
-        columns.append(F.lit(run_id).alias("run_id"))
     absent = set(names) - {c.lower() for c in stamped.columns}
     if absent:
         raise ValueError(f"{table}: result lacks {sorted(absent)}")
@@ -67,8 +66,16 @@ def append_run(
 ) -> None:
     """Append one run to its history, columns matched by name.
 
-    A run is a few hundred rows, so it is written as one file.
+    A run is a few hundred rows, so it is written as one file.  A run id that the history
+    holds already is refused.
     """
+    if run_id is not None:
+        try:
+            held = read_table(result.sparkSession, target, table).where(F.col("run_id") == run_id)
+        except AnalysisException:  # no history yet
+            held = None
+        if held is not None and not held.isEmpty():
+            raise ValueError(f"{target} holds run {run_id!r} already")
     rows = stamp_run(result, created, table, run_id).coalesce(1)
     writer = rows.write.mode("append")
     writer.parquet(target) if _is_path(target) else writer.saveAsTable(target)

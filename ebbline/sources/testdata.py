@@ -25,7 +25,7 @@ from ebbline.sources.reference import RULE_COLUMNS
 AS_OF = dt.datetime(1998, 6, 1, 12, 0, 0)
 
 # Fixed values of the binding: asset classes by part type (PROMO stays unclassified),
-# category cycles, the share of a price that flows, and two hand-written scenarios.
+# category cycles, the share of a price that flows, and two scenarios of this library.
 ASSET_CLASSES = [
     ("ECONOMY", "Level 1", "0.00"),
     ("STANDARD", "Level 1", "0.00"),
@@ -38,25 +38,21 @@ RATINGS = ("AAA", "AA", "A", "BBB", "BB")
 FLOW_SHARE = Decimal("0.195")
 # Columns that every use of line items reads.
 SPREAD_BY = ("l_extendedprice", "l_shipdate")
+# Rules for the cases that matter: one given twice, ids hit by two rules, equal factors of
+# two rules, factors above 1, a value that nothing has and one filed under another column.
 RULES = [
-    ("1", "STRESS", "COUNTERPARTY_DATA", "COUNTERPARTY_DATA", "REGION", "EUROPE", -0.1),
-    ("1", "STRESS", "COUNTERPARTY_DATA", "COUNTERPARTY_DATA", "COUNTERPARTY_TYPE", "BUILDING", -0.15),
-    ("1", "STRESS", "POSITIONS", "ASSET_CLASSIFICATIONS", "SECURITY_TYPE", "ECONOMY", -0.05),
-    ("1", "STRESS", "POSITIONS", "ASSET_CLASSIFICATIONS", "SECURITY_TYPE", "UNKNOWN", -0.1),
-    ("1", "STRESS", "POSITIONS", "BUSINESS_UNIT_REFERENCE", "BUSINESS_UNIT_TYPE", "Treasury", -0.05),
-    ("1", "STRESS", "CASH_INFLOWS", "BUSINESS_UNIT_REFERENCE", "BUSINESS_UNIT_TYPE", "Treasury", -0.02),
-    ("1", "STRESS", "CASH_INFLOWS", "BUSINESS_UNIT_REFERENCE", "REGION", "ASIA", -0.1),
-    ("1", "STRESS", "CASH_OUTFLOWS", "BUSINESS_UNIT_REFERENCE", "BUSINESS_UNIT_TYPE", "Treasury", -0.01),
-    ("1", "STRESS", "CASH_OUTFLOWS", "BUSINESS_UNIT_REFERENCE", "REGION", "ASIA", -0.05),
-    ("2", "STRESS2", "COUNTERPARTY_DATA", "COUNTERPARTY_DATA", "REGION", "EUROPE", -0.1),
-    ("2", "STRESS2", "COUNTERPARTY_DATA", "COUNTERPARTY_DATA", "REGION", "ASIA", -0.15),
-    ("2", "STRESS2", "COUNTERPARTY_DATA", "COUNTERPARTY_DATA", "REGION", "BUILDING", -0.15),
-    ("2", "STRESS2", "POSITIONS", "ASSET_CLASSIFICATIONS", "SECURITY_TYPE", "ECONOMY", -0.05),
-    ("2", "STRESS2", "POSITIONS", "BUSINESS_UNIT_REFERENCE", "BUSINESS_UNIT_TYPE", "Treasury", -0.05),
-    ("2", "STRESS2", "CASH_INFLOWS", "BUSINESS_UNIT_REFERENCE", "BUSINESS_UNIT_TYPE", "Trading", -0.1),
-    ("2", "STRESS2", "CASH_INFLOWS", "BUSINESS_UNIT_REFERENCE", "REGION", "EUROPE", -0.2),
-    ("2", "STRESS2", "CASH_OUTFLOWS", "BUSINESS_UNIT_REFERENCE", "BUSINESS_UNIT_TYPE", "Trading", -0.01),
-    ("2", "STRESS2", "CASH_OUTFLOWS", "BUSINESS_UNIT_REFERENCE", "REGION", "EUROPE", -0.05),
+    ("1", "DOWNTURN", "POSITIONS", "ASSET_CLASSIFICATIONS", "SECURITY_TYPE", "LARGE", -0.22),
+    ("1", "DOWNTURN", "POSITIONS", "ASSET_CLASSIFICATIONS", "SECURITY_TYPE", "LARGE", -0.22),
+    ("1", "DOWNTURN", "CASH_OUTFLOWS", "BUSINESS_UNIT_REFERENCE", "REGION", "AMERICA", 0.08),
+    ("1", "DOWNTURN", "CASH_OUTFLOWS", "BUSINESS_UNIT_REFERENCE", "BUSINESS_UNIT_TYPE", "Wealth Management", 0.03),
+    ("1", "DOWNTURN", "COUNTERPARTY_DATA", "COUNTERPARTY_DATA", "COUNTERPARTY_TYPE", "MACHINERY", -0.17),
+    ("1", "DOWNTURN", "CASH_INFLOWS", "BUSINESS_UNIT_REFERENCE", "REGION", "MIDDLE EAST", -0.26),
+    ("1", "DOWNTURN", "CASH_INFLOWS", "BUSINESS_UNIT_REFERENCE", "REGION", "NOWHERE", -0.5),
+    ("2", "REGIONAL", "COUNTERPARTY_DATA", "COUNTERPARTY_DATA", "REGION", "AFRICA", -0.31),
+    ("2", "REGIONAL", "COUNTERPARTY_DATA", "COUNTERPARTY_DATA", "REGION", "HOUSEHOLD", -0.07),
+    ("2", "REGIONAL", "CASH_INFLOWS", "BUSINESS_UNIT_REFERENCE", "BUSINESS_UNIT_TYPE", "Investment Banking", -0.12),
+    ("2", "REGIONAL", "POSITIONS", "BUSINESS_UNIT_REFERENCE", "REGION", "EUROPE", -0.06),
+    ("2", "REGIONAL", "POSITIONS", "BUSINESS_UNIT_REFERENCE", "BUSINESS_UNIT_TYPE", "Trading", -0.06),
 ]
 # Scenario 3 has one rule per region, market segment and part type found in the data.
 DERIVED_ID, DERIVED_NAME = "3", "MARKETWIDE"

@@ -61,24 +61,18 @@ cash_outflows AS (
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey),
 rules AS (
   SELECT * FROM (VALUES
-    ('1', 'STRESS', 'COUNTERPARTY_DATA', 'COUNTERPARTY_DATA', 'REGION', 'EUROPE', -0.1::DOUBLE),
-    ('1', 'STRESS', 'COUNTERPARTY_DATA', 'COUNTERPARTY_DATA', 'COUNTERPARTY_TYPE', 'BUILDING', -0.15),
-    ('1', 'STRESS', 'POSITIONS', 'ASSET_CLASSIFICATIONS', 'SECURITY_TYPE', 'ECONOMY', -0.05),
-    ('1', 'STRESS', 'POSITIONS', 'ASSET_CLASSIFICATIONS', 'SECURITY_TYPE', 'UNKNOWN', -0.1),
-    ('1', 'STRESS', 'POSITIONS', 'BUSINESS_UNIT_REFERENCE', 'BUSINESS_UNIT_TYPE', 'Treasury', -0.05),
-    ('1', 'STRESS', 'CASH_INFLOWS', 'BUSINESS_UNIT_REFERENCE', 'BUSINESS_UNIT_TYPE', 'Treasury', -0.02),
-    ('1', 'STRESS', 'CASH_INFLOWS', 'BUSINESS_UNIT_REFERENCE', 'REGION', 'ASIA', -0.1),
-    ('1', 'STRESS', 'CASH_OUTFLOWS', 'BUSINESS_UNIT_REFERENCE', 'BUSINESS_UNIT_TYPE', 'Treasury', -0.01),
-    ('1', 'STRESS', 'CASH_OUTFLOWS', 'BUSINESS_UNIT_REFERENCE', 'REGION', 'ASIA', -0.05),
-    ('2', 'STRESS2', 'COUNTERPARTY_DATA', 'COUNTERPARTY_DATA', 'REGION', 'EUROPE', -0.1),
-    ('2', 'STRESS2', 'COUNTERPARTY_DATA', 'COUNTERPARTY_DATA', 'REGION', 'ASIA', -0.15),
-    ('2', 'STRESS2', 'COUNTERPARTY_DATA', 'COUNTERPARTY_DATA', 'REGION', 'BUILDING', -0.15),
-    ('2', 'STRESS2', 'POSITIONS', 'ASSET_CLASSIFICATIONS', 'SECURITY_TYPE', 'ECONOMY', -0.05),
-    ('2', 'STRESS2', 'POSITIONS', 'BUSINESS_UNIT_REFERENCE', 'BUSINESS_UNIT_TYPE', 'Treasury', -0.05),
-    ('2', 'STRESS2', 'CASH_INFLOWS', 'BUSINESS_UNIT_REFERENCE', 'BUSINESS_UNIT_TYPE', 'Trading', -0.1),
-    ('2', 'STRESS2', 'CASH_INFLOWS', 'BUSINESS_UNIT_REFERENCE', 'REGION', 'EUROPE', -0.2),
-    ('2', 'STRESS2', 'CASH_OUTFLOWS', 'BUSINESS_UNIT_REFERENCE', 'BUSINESS_UNIT_TYPE', 'Trading', -0.01),
-    ('2', 'STRESS2', 'CASH_OUTFLOWS', 'BUSINESS_UNIT_REFERENCE', 'REGION', 'EUROPE', -0.05)
+    ('1', 'DOWNTURN', 'POSITIONS', 'ASSET_CLASSIFICATIONS', 'SECURITY_TYPE', 'LARGE', -0.22::DOUBLE),
+    ('1', 'DOWNTURN', 'POSITIONS', 'ASSET_CLASSIFICATIONS', 'SECURITY_TYPE', 'LARGE', -0.22),
+    ('1', 'DOWNTURN', 'CASH_OUTFLOWS', 'BUSINESS_UNIT_REFERENCE', 'REGION', 'AMERICA', 0.08),
+    ('1', 'DOWNTURN', 'CASH_OUTFLOWS', 'BUSINESS_UNIT_REFERENCE', 'BUSINESS_UNIT_TYPE', 'Wealth Management', 0.03),
+    ('1', 'DOWNTURN', 'COUNTERPARTY_DATA', 'COUNTERPARTY_DATA', 'COUNTERPARTY_TYPE', 'MACHINERY', -0.17),
+    ('1', 'DOWNTURN', 'CASH_INFLOWS', 'BUSINESS_UNIT_REFERENCE', 'REGION', 'MIDDLE EAST', -0.26),
+    ('1', 'DOWNTURN', 'CASH_INFLOWS', 'BUSINESS_UNIT_REFERENCE', 'REGION', 'NOWHERE', -0.5),
+    ('2', 'REGIONAL', 'COUNTERPARTY_DATA', 'COUNTERPARTY_DATA', 'REGION', 'AFRICA', -0.31),
+    ('2', 'REGIONAL', 'COUNTERPARTY_DATA', 'COUNTERPARTY_DATA', 'REGION', 'HOUSEHOLD', -0.07),
+    ('2', 'REGIONAL', 'CASH_INFLOWS', 'BUSINESS_UNIT_REFERENCE', 'BUSINESS_UNIT_TYPE', 'Investment Banking', -0.12),
+    ('2', 'REGIONAL', 'POSITIONS', 'BUSINESS_UNIT_REFERENCE', 'REGION', 'EUROPE', -0.06),
+    ('2', 'REGIONAL', 'POSITIONS', 'BUSINESS_UNIT_REFERENCE', 'BUSINESS_UNIT_TYPE', 'Trading', -0.06)
   ) v(what_if_id, what_if_name, ref_tbl, tbl, col, val, factor)
   UNION ALL SELECT '3', 'MARKETWIDE', 'COUNTERPARTY_DATA', 'COUNTERPARTY_DATA', 'REGION', r_name,
                    (r_regionkey + 1) * -0.01::DOUBLE FROM region
@@ -226,6 +220,9 @@ latest AS (SELECT h.* FROM scenario_history h
              ON n.what_if_id = h.what_if_id AND n.m = h.created_timestamp)"""
 
 
+NOW = f"latest AS ({what_if(AS_OF, ('1', '2'))})"
+
+
 def _wide_days(n: int, as_of: str) -> list[tuple[int, str]]:
     start = dt.datetime.fromisoformat(as_of)
     return [(i + 1, f"TIMESTAMP '{start + dt.timedelta(days=i)}'") for i in range(n)]
@@ -259,9 +256,13 @@ def _wide_flow(side: str, n: int) -> str:
     )
 
 
-def _stressed(fact: str, key: str) -> str:
-    amount = FACTS[fact][0]
-    return query(f"SELECT what_if_id, {key}, {dbl(amount)} FROM ({stressed(fact, ('1',))})")
+def _stressed(fact: str) -> str:
+    doubles = [FACTS[fact][0], *(["quantity"] if fact == "positions" else [])]
+    shown = ", ".join(
+        [f"CAST({c} AS DOUBLE) AS {c}" for c in doubles]
+        + [f"CAST({c} AS VARCHAR) AS {c}" for c in ("maturity_date", "position_date")]
+    )
+    return query(f"SELECT * REPLACE ({shown}) FROM ({stressed(fact, ('1', '2', '3'))})")
 
 
 def _flows(side: str, key: str, name: str, join: str = "") -> str:
@@ -326,32 +327,46 @@ _NULLS = {
                      "inflow_amount_usd", "maturity_date", "position_date"),
     "cash_outflows": ("outflow_id", "business_unit_id", "counterparty_id", "outflow_type",
                       "outflow_amount_usd", "maturity_date", "position_date"),
+    "asset_classifications": ("security_type", "hqla_level", "haircut_percent"),
+    "counterparty_data": ("counterparty_id", "counterparty_name", "counterparty_type", "credit_rating", "region"),
+    "business_unit_reference": ("business_unit_id", "business_unit_name", "business_unit_type", "region"),
+    "what_if_definitions_lookup": ("what_if_id", "what_if_name", "ref_tbl", "tbl", "col", "val", "factor"),
 }
 
 
 def _nulls() -> str:
     return " UNION ALL ".join(
         f"SELECT '{table}' AS table_name, '{c}' AS column_name, COUNT(*) AS row_count,"
-        f" COUNT(*) FILTER ({c} IS NULL) AS null_count FROM {table}"
+        f" COUNT(*) FILTER ({c} IS NULL) AS null_count FROM {'rules' if table.startswith('what_if') else table}"
         for table, columns in _NULLS.items()
         for c in columns
     )
 
 
-_RECONCILE = f"""
-SELECT 'hqla' AS object,
-  (SELECT CAST(SUM(CAST(total_hqla_usd AS DECIMAL(38,2))) AS DOUBLE) FROM ({detail(AS_OF)})
-   WHERE maturity_date IS NULL OR CAST(maturity_date AS TIMESTAMP) > TIMESTAMP '{AS_OF}') AS row_total,
-  (SELECT CAST(total_hqla_usd AS DOUBLE) FROM ({hqla(AS_OF)}) WHERE day_number = 1) AS day_total,
-  0.0::DOUBLE AS difference, 'PASS' AS status""" + "".join(
-    f"""
-UNION ALL SELECT '{side}',
-  (SELECT CAST(SUM({side}_amount_usd) AS DOUBLE) FROM cash_{side}s
-   WHERE maturity_date IS NULL OR CAST(maturity_date AS TIMESTAMP) >= TIMESTAMP '{AS_OF}'),
-  (SELECT CAST(total_{side} AS DOUBLE) FROM ({flow(side, AS_OF)}) WHERE day_number = 1),
-  0.0::DOUBLE, 'PASS'"""
-    for side in ("inflow", "outflow")
-)
+def _by_row(rows: str, gone: str, value: str) -> str:
+    """Totals by day, each from all the rows that are alive on it."""
+    return f"""
+      SELECT day_number, COALESCE(SUM({value}) FILTER (maturity_date IS NULL
+             OR NOT CAST(maturity_date AS TIMESTAMP) {gone} {instant(AS_OF)}), 0) AS total
+      FROM ({rows}) r CROSS JOIN {days(150, '0.9999')} s GROUP BY day_number"""
+
+
+def _reconcile() -> str:
+    parts = [("hqla", _by_row(detail(AS_OF), "<=", "CAST(total_hqla_usd * decay AS DECIMAL(38,2))"),
+              f"SELECT day_number, total_hqla_usd AS total FROM ({hqla(AS_OF)})")]
+    for side in ("inflow", "outflow"):
+        live = (f"SELECT * FROM cash_{side}s WHERE maturity_date IS NULL"
+                f" OR CAST(maturity_date AS TIMESTAMP) >= TIMESTAMP '{AS_OF}'")
+        parts.append((side, _by_row(live, "<", f"{side}_amount_usd"),
+                      f"SELECT day_number, total_{side} AS total FROM ({flow(side, AS_OF)})"))
+    return query(" UNION ALL ".join(
+        f"""SELECT '{name}' AS object, CAST(day_number AS INTEGER) AS day_number,
+          CAST(r.total AS DOUBLE) AS row_total, CAST(d.total AS DOUBLE) AS day_total,
+          CAST(r.total - d.total AS DOUBLE) AS difference,
+          CASE WHEN r.total = d.total THEN 'PASS' ELSE 'FAIL' END AS status
+          FROM ({by_row}) r FULL JOIN ({daily}) d USING (day_number)"""
+        for name, by_row, daily in parts))
+
 
 _DRIVERS = f"""ends AS (
   SELECT CAST(max(total_hqla_usd) FILTER (day_number = 1) AS DOUBLE) AS h0,
@@ -374,7 +389,7 @@ _COLUMN_CHECKS = [
     ("positions", "created_date", ""),
     ("what_if_definitions_lookup", "created_date", ""),
     ("hqla_summary", "", ""),
-    ("lcr", "", ""),
+    ("lcr", "", "run_id"),
     ("what_if_lcr", "", ""),
 ]
 
@@ -428,7 +443,7 @@ def statements() -> dict[str, str]:
             f"SELECT CAST(maturity_date AS VARCHAR) AS maturity_date, {dbl('total_hqla_usd')}"
             f" FROM ({detail(AS_OF)})"
         ),
-        "hqla_projection_wide": _wide_hqla(30),
+        "hqla_projection_wide": _wide_hqla(150),
         "hqla_summary": query(
             f"SELECT CAST(day_number AS INTEGER) AS day_number, {dbl('total_hqla_usd')} FROM ({hqla(AS_OF)})"
         ),
@@ -442,8 +457,8 @@ def statements() -> dict[str, str]:
                 FROM ({detail(AS_OF, extra='h.hqla_level,')}) CROSS JOIN {days(150, '0.9999')}
                 GROUP BY 1, 2"""
         ),
-        "cash_inflow_projection_wide": _wide_flow("inflow", 7),
-        "cash_outflow_projection_wide": _wide_flow("outflow", 7),
+        "cash_inflow_projection_wide": _wide_flow("inflow", 150),
+        "cash_outflow_projection_wide": _wide_flow("outflow", 150),
         "cash_inflow_daily": query(
             f"SELECT CAST(day_number AS INTEGER) AS day_number, {dbl('total_inflow')}"
             f" FROM ({flow('inflow', AS_OF)})"
@@ -471,9 +486,9 @@ def statements() -> dict[str, str]:
             )
             for kind in KINDS
         },
-        "stressed_inflows": _stressed("cash_inflows", "inflow_id"),
-        "stressed_outflows": _stressed("cash_outflows", "outflow_id"),
-        "stressed_positions": _stressed("positions", "position_id"),
+        "stressed_inflows": _stressed("cash_inflows"),
+        "stressed_outflows": _stressed("cash_outflows"),
+        "stressed_positions": _stressed("positions"),
         "lcr_what_if": query(f"SELECT what_if_id, {SERIES} FROM ({what_if(AS_OF, ('1',))})"),
         "lcr_what_if_all": query(f"SELECT what_if_id, {SERIES} FROM ({what_if(AS_OF, ('1', '2', '3'))})"),
         # History
@@ -483,6 +498,9 @@ def statements() -> dict[str, str]:
         "what_if_change_analysis": query(
             _CHANGES.format(keys="what_if_id,", table="latest", partition="PARTITION BY what_if_id"), SCENARIO_HISTORY
         ),
+        "latest_of_equal_stamps": query(
+            _CHANGES.format(keys="", table="base", partition=""), f"base AS ({ratio(EARLIER)})"
+        ),
         "headline": query(_HEADLINE, HISTORY),
         # Scenario definitions
         "scenario_definitions": query(f"SELECT DISTINCT {_LISTING.format(tbl='')} FROM rules"),
@@ -526,8 +544,8 @@ def statements() -> dict[str, str]:
             " FULL JOIN (SELECT business_unit_id, SUM(outflow_amount_usd) AS o FROM cash_outflows GROUP BY 1) b"
             " USING (business_unit_id)"
         ),
-        "baseline_versus_scenarios": query(_COMPARE, BASE, SCENARIO_HISTORY),
-        "scenario_impact_day_30": query(_COMPARE + " WHERE s.day_number = 30", BASE, SCENARIO_HISTORY),
+        "baseline_versus_scenarios": query(_COMPARE, BASE, NOW),
+        "scenario_impact_day_30": query(_COMPARE + " WHERE s.day_number = 30", BASE, NOW),
         "positions_of_type": query(
             "SELECT position_id, security_id, security_type, position_type,"
             f" {dbl('position_value_usd')}, CAST(maturity_date AS VARCHAR) AS maturity_date"
@@ -588,7 +606,7 @@ def statements() -> dict[str, str]:
             " FROM positions WHERE security_type NOT IN (SELECT security_type FROM asset_classifications)"
         ),
         "missing_fields": query(_nulls()),
-        "reconciliation": query(_RECONCILE),
+        "reconciliation": _reconcile(),
         "quality_report": query(_report(), HISTORY),
         "quality_summary": query(
             "SELECT \"check\", COUNT(*) FILTER (status = 'PASS') AS passed, COUNT(*) AS total,"

@@ -3,25 +3,20 @@
 from __future__ import annotations
 
 import re
-from types import SimpleNamespace
 
 import pytest
 
 import __spark_entry__ as driver
 from ebbline.operators.projection import cashflow_daily, hqla_daily, hqla_detail
-from ebbline.plans.catalog import catalog, scratch_table
+from ebbline.plans.catalog import catalog
 from ebbline.sources.reference import reference_table
 from ebbline.sources.sample import cash_flows, market_data, positions
 from ebbline.sources.tables import overwrite, read_table
+from oracle.sql import statements
 from tests import fixtures as fx
 from tests.check_oracle import connect, mismatch
 
 SF_DIR = "/root/testdata/sf0.001"
-# Long runs whose parts are compared by other queries as well.
-SLOW = {
-    "quality_report", "scenario_impact_day_30", "what_if_change_analysis", "lcr_what_if",
-    "lcr_next_90_days", "lcr_trend_30_days", "hqla_first_30_days",
-}
 
 
 @pytest.fixture(scope="module")
@@ -30,14 +25,15 @@ def sql():
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(catalog()) == set(statements())
+    assert set(catalog()) <= set(driver.queries()) and set(statements()) <= set(driver.oracle_sql())
 
 
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(catalog()) - SLOW))
+@pytest.mark.parametrize("name", sorted(catalog()))
 def test_query_equals_sql_without_cross_join_or_python(spark, sql, name):
     df = catalog()[name](spark, SF_DIR)
     text = plan(df)
@@ -93,14 +89,29 @@ def test_rows_are_aggregated_before_any_shuffle(stored):
         assert all("partial_sum" in lines[i + 1] for i in shuffles)
 
 
-def test_scratch_tables_live_in_the_shared_folder():
-    def session(shared: str | None, master: str) -> SimpleNamespace:
-        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
-        return SimpleNamespace(
-            conf=SimpleNamespace(get=lambda key, default: shared), sparkContext=context
-        )
-
-    assert scratch_table(session("/shared/dir/", "yarn"), "lcr").startswith("/shared/dir/lcr-")
-    assert scratch_table(session(None, "local[2]"), "lcr")
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_table(session(None, "yarn"), "lcr")
+@pytest.mark.parametrize("name", ["lcr_what_if", "baseline_versus_scenarios", "headline"])
+def test_queries_start_no_job_while_they_are_built(spark, name):
+    catalog()["hqla_detail"](spark, SF_DIR).count()
+    context = spark.sparkContext
+    context.setJobGroup("building", "building")
+    try:
+        catalog()[name](spark, SF_DIR)
+        jobs = context.statusTracker().getJobIdsForGroup("building")
+    finally:
+        context._jsc.clearJobGroup()
+    assert len(jobs) <= 16  # file schemas, no counts
+
+
+@pytest.mark.parametrize("sf_dir", [SF_DIR, "/root/testdata/sf0.01"])
+def test_lookups_that_facts_leave_out_resolve(sql, sf_dir):
+    """Forecast queries skip these N:1 lookups, which changes no row only if each finds its one."""
+    con = connect(sf_dir)
+    for left, key, right, own in (
+        ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+        ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+        ("orders", "o_custkey", "customer", "c_custkey"),
+        ("lineitem", "l_partkey", "part", "p_partkey"),
+    ):
+        lost = con.execute(f"SELECT count(*) FROM {left} WHERE {key} IS NULL OR {key} NOT IN (SELECT {own} FROM {right})").fetchone()
+        many = con.execute(f"SELECT count(*) - count(DISTINCT {own}) FROM {right}").fetchone()
+        assert (lost, many) == ((0,), (0,)), (left, right)

@@ -53,11 +53,36 @@ def test_append_needs_every_column(spark, tmp_path):
         append_run(series(spark, [(1, 1, 1)]), str(tmp_path / "t"), NEW, "what_if_lcr")
 
 
-def test_run_id_keeps_runs_apart(spark, tmp_path):
+def test_runs_of_one_instant_are_told_apart(spark, tmp_path):
     path = str(tmp_path / "lcr")
-    for run_id in ("a", "b"):
-        append_run(series(spark, [(1, 1, 1)]), path, NEW, run_id=run_id)
-    assert {r.run_id for r in spark.read.parquet(path).collect()} == {"a", "b"}
+    for run_id, h in (("a", 20), ("b", 30)):
+        append_run(series(spark, [(1, 10, h), (2, 10, h + 5)]), path, NEW, run_id=run_id)
+    history = read_table(spark, path, "lcr")
+    assert {r.run_id for r in history.collect()} == {"a", "b"}
+    assert [(r.day_number, float(r.hqla)) for r in hist.latest_lcr(history).collect()] == [(1, 30), (2, 35)]
+    assert [r.hqla_change for r in hist.lcr_change_analysis(history).collect()] == [None, 5]
+
+
+def test_a_run_id_is_used_once(spark, tmp_path):
+    path = str(tmp_path / "lcr")
+    append_run(series(spark, [(1, 10, 20)]), path, NEW, run_id="a")
+    with pytest.raises(ValueError, match="already"):
+        append_run(series(spark, [(1, 10, 20)]), path, NEW, run_id="a")
+
+
+def test_rows_without_run_id_are_one_run(spark, tmp_path):
+    path = str(tmp_path / "lcr")
+    append_run(series(spark, [(1, 10, 20)]), path, OLD)
+    bare = read_table(spark, path, "lcr").withColumn("run_id", F.lit(None).cast("string"))
+    assert hist.latest_lcr(bare).count() == 1
+
+
+def test_runs_of_scenarios_of_one_instant_are_told_apart(spark, tmp_path):
+    path = str(tmp_path / "what_if")
+    for run_id, h in (("a", 5), ("b", 7)):
+        append_run(series(spark, [(1, 10, h)], what_if_id="1"), path, NEW, "what_if_lcr", run_id)
+    rows = hist.latest_run_per_scenario(read_table(spark, path, "what_if_lcr")).collect()
+    assert [float(r.hqla) for r in rows] == [7]
 
 
 def test_latest_trend(baseline):

@@ -36,8 +36,8 @@ def values(df, *keys):
 
 def test_forecast_job_appends_and_returns_the_latest(spark, sources, tmp_path):
     target = str(tmp_path / "lcr")
-    forecast_job(spark, sources, target, fx.NOON, 5)
-    latest = forecast_job(spark, sources, target, LATER, 5, run_id="second")
+    forecast_job(spark, sources, target, fx.NOON, 5, created=fx.NOON)
+    latest = forecast_job(spark, sources, target, LATER, 5, run_id="second", created=LATER)
     assert values(latest, "day_number") == values(
         run_forecast(Book.read(spark, sources), LATER, 5), "day_number"
     )
@@ -46,8 +46,8 @@ def test_forecast_job_appends_and_returns_the_latest(spark, sources, tmp_path):
 
 def test_what_if_job_keeps_scenarios_and_runs_apart(spark, sources, tmp_path):
     target = str(tmp_path / "what_if")
-    what_if_job(spark, sources, target, ["1", "2"], fx.NOON, 4)
-    latest = what_if_job(spark, sources, target, "2", LATER, 4)
+    what_if_job(spark, sources, target, ["1", "2"], fx.NOON, 4, created=fx.NOON)
+    latest = what_if_job(spark, sources, target, "2", LATER, 4, created=LATER)
     book = Book.read(spark, sources)
     want = values(run_what_if(book, "1", fx.NOON, 4), "what_if_id", "day_number") + values(
         run_what_if(book, "2", LATER, 4), "what_if_id", "day_number"
@@ -55,6 +55,13 @@ def test_what_if_job_keeps_scenarios_and_runs_apart(spark, sources, tmp_path):
     assert values(latest, "what_if_id", "day_number") == want
 
 
+def test_rerun_at_the_same_valuation_time_gives_one_run(spark, sources, tmp_path):
+    target = str(tmp_path / "lcr")
+    forecast_job(spark, sources, target, fx.NOON, 150, created=fx.NOON, run_id="a")
+    latest = forecast_job(spark, sources, target, fx.NOON, 150, created=fx.NOON, run_id="b")
+    assert sorted(r.day_number for r in latest.collect()) == list(range(1, 151))
+
+
 def test_a_hot_counterparty_gives_the_same_totals(spark, sources):
     """One counterparty holds a third of the flows; per-row factors must still be exact."""
     book = Book.read(spark, sources)

@@ -141,7 +141,7 @@ def test_orphans_of_empty_tables(tables):
 
 def test_checks_and_summary(spark, tables):
     history = spark.createDataFrame(
-        [(dt.datetime(2024, 1, 1), 1, Decimal(1), Decimal(1), Decimal(1))], SCHEMAS["lcr"]
+        [(dt.datetime(2024, 1, 1), "run", 1, Decimal(1), Decimal(1), Decimal(1))], SCHEMAS["lcr"]
     )
     given = {**tables, "lcr": history, "hqla_summary": spark.createDataFrame([], SCHEMAS["hqla_summary"])}
     report = quality.check_all(spark, given, history)

@@ -2,12 +2,12 @@ from __future__ import annotations
 
 import datetime as dt
 import random
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 import pytest
 from pyspark.sql import functions as F
 
-from ebbline.functions.money import after_haircut, decay_curve
+from ebbline.functions.money import after_haircut, coverage_ratio, decay_curve
 from ebbline.operators.netting import lcr, net_cashflow
 from ebbline.operators.projection import (
     cashflow_daily,
@@ -191,3 +191,33 @@ def test_session_time_zone_does_not_matter(spark):
             assert fx.by_day(hqla_daily(detail, as_of, 11, 1.0), "total_hqla_usd") == want
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_any_stored_money_is_exact(spark, ansi):
+    """Positions up to the width of the stored type, in either ANSI mode."""
+    values = ["100000000000000.07", "123456789012345678.91", "999999999999999999.99", "0.01"]
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        held = fx.positions(spark, [(f"P{i}", "U1", "BOND", "Long", v, None) for i, v in enumerate(values)])
+        detail = hqla_detail(held, fx.classes(spark), fx.NOON)
+        haircuts = {r.security_type: r.haircut_percent for r in fx.classes(spark).collect()}
+        kept = (100 - haircuts["BOND"]) / Decimal(100)
+        with localcontext() as exact:
+            exact.prec = 80
+            for row in hqla_daily(detail, fx.NOON, 5).collect():
+                decay = decay_curve(0.9999, 5)[row.day_number - 1]
+                want = sum((Decimal(v) * kept * decay).quantize(Decimal("0.01"), ROUND_HALF_UP) for v in values)
+                assert row.total_hqla_usd == want
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_ratio_of_totals_too_large_for_decimals(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = spark.sql("SELECT CAST('30000000000000000000000.00' AS DECIMAL(38,2)) AS h, CAST('20000000000000000000000.00' AS DECIMAL(38,2)) AS o")
+        assert df.select(coverage_ratio(df.h, df.o).alias("r")).first().r == Decimal("1.5")
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")

@@ -148,20 +148,59 @@ def test_repeated_ids_run_once_and_none_is_an_error(spark):
         run_what_if(b, [], fx.NOON, 3)
 
 
-def test_join_without_broadcast_gives_the_same(spark, monkeypatch):
+@pytest.fixture()
+def no_broadcast(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def test_join_without_broadcast_gives_the_same(spark, no_broadcast):
     b = book(spark, [("1", *CP, "REGION", "Europe", -0.1), ("1", *POS_UNIT, "REGION", "Asia", -0.2)])
-    want = {tuple(r) for r in run_what_if(b, "1", fx.NOON, 5).collect()}
-    monkeypatch.setattr("ebbline.operators.scenario.fits_broadcast", lambda dim: False)
-    monkeypatch.setattr("ebbline.functions.sizing.fits_broadcast", lambda dim, n=0: False)
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    df = run_what_if(b, "1", fx.NOON, 5)
+    assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+    want = {tuple(r) for r in df.collect()}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    assert {tuple(r) for r in run_what_if(b, "1", fx.NOON, 5).collect()} == want
+
+
+def test_equal_flows_of_a_hot_counterparty_are_split(spark, no_broadcast):
+    """A third of the rows are one flow of one counterparty, again and again."""
+    b = book(spark, [("1", *CP, "REGION", "Europe", -0.1)])
+    n = 60_000
+    hot = F.when(F.col("id") % 3 == 0, "C1").otherwise(F.concat(F.lit("X"), (F.col("id") % 997).cast("string")))
+    flows = spark.range(n).repartition(16).select(
+        F.col("id").cast("string").alias("inflow_id"), F.lit("U1").alias("business_unit_id"), hot.alias("counterparty_id"),
+        F.lit("10.01").cast("decimal(20,2)").alias("inflow_amount_usd"), F.lit(None).cast("date").alias("maturity_date"),
+    )
+    stressed = apply_scenario({"cash_inflows": flows}, b.tables(), b.what_if_definitions_lookup, ["1"])["cash_inflows"]
+    placed = stressed.select("counterparty_id", "inflow_amount_usd", F.spark_partition_id().alias("p"))
+    rows = placed.where("counterparty_id = 'C1'").groupBy("p").agg(F.count("*").alias("n"), F.sum("inflow_amount_usd").alias("usd")).collect()
+    assert sum(r.n for r in rows) == n // 3 and sum(r.usd for r in rows) == n // 3 * Decimal("9.01")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_large_factors_are_exact_and_overflow_fails(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
     try:
-        df = run_what_if(b, "1", fx.NOON, 5)
-        text = df._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" not in text and "salt#" in text
-        assert {tuple(r) for r in df.collect()} == want
+        b = book(spark, [("1", *CP, "REGION", "Europe", 199_999.0)])
+        inflows = {r.inflow_id: r.inflow_amount_usd for r in stressed_book(b, ["1"]).cash_inflows.collect()}
+        assert inflows["I1"] == Decimal("200000000000.00") and inflows["I2"] == Decimal("10.01")
+        again = [("1", *CP, "REGION", "Europe", 9e9), ("1", *CP, "COUNTERPARTY_TYPE", "Bank", 9e8)]
+        with pytest.raises(Exception, match="fit|out of range|OUT_OF_RANGE|overflow"):
+            stressed_book(book(spark, again), ["1"]).cash_inflows.collect()
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        spark.conf.set("spark.sql.ansi.enabled", "true")
 
 
 def test_or_join_written_out_gives_the_same_factors(spark):
