@@ -19,7 +19,7 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,7 +28,8 @@ from ebbline.llm.common import keep, small_batches
 #: Words of open insult that vote whatever the labels say.
 LEXICON = ("idiot", "moron", "stupid", "loser", "trash", "scum", "pathetic", "worthless", "disgusting", "clown", "dumbass", "retard")
 SAMPLE = 20_000
-#: Rows of each label that candidates are mined from, candidates and mined voters at most.
+#: Rows of each label that candidates are mined from (about, by hash); candidates and mined
+#: voters at most.
 MINED_ROWS = 2_500
 CANDIDATES = 4_000
 VOTERS = 64
@@ -95,8 +96,9 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, training: Column, s
 
 def mine(rows: DataFrame) -> list[str]:
     """Terms of the toxic rows that are rare in the others, as a lexicon with redundancy."""
-    order = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64(F.lit(6), F.col("doc_id")), "doc_id"))
-    some = rows.withColumn("n", order).where(F.col("n") <= MINED_ROWS)
+    counts = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
+    share = F.element_at(F.array(*[F.lit(MINED_ROWS / max(counts.get(y, 1), 1)) for y in (0, 1)]), F.col("y") + 1)
+    some = rows.where(F.pmod(F.xxhash64(F.lit(6), F.col("doc_id")), F.lit(1 << 20)) < share * (1 << 20))
     counted = (
         some.select("y", F.explode(_terms("text")).alias("term"))
         .groupBy("term")
@@ -148,7 +150,8 @@ class LabelModel:
             hit = np.clip(0.8 * hit + 0.2 * again, 1e-5, 0.95)
             # What toxicity doesn't explain of a voter's votes is false, as far as labels allow.
             rest = np.clip((share - self.prior * hit) / (1 - self.prior), 0, 1)
-            false = np.clip(np.where(n_clean > 0, (clean + 0.1 + 10 * np.minimum(rest, false)) / (n_clean + 110), rest), 1e-6, 0.9)
+            seldom = np.minimum(rest, 0.01 * hit)  # without labels voters are trusted
+            false = np.clip(np.where(n_clean > 0, (clean + 0.1 + 10 * np.minimum(rest, false)) / (n_clean + 110), seldom), 1e-6, 0.9)
         self.hit, self.false = hit, false
         expected = self.prior * np.outer(hit, hit) + (1 - self.prior) * np.outer(false, false)
         self.correlation = np.where(apart, np.clip((pairs - expected) / np.sqrt(np.outer(share, share) + 1e-12), -1, 1), 1.0)
