@@ -122,15 +122,17 @@ def edited(docs: DataFrame, text: str = "text") -> DataFrame:
     order = following(docs).select(F.col("doc_id").alias("asker"), F.col("next_id").alias("asked"))
     longest = base.groupBy("doc_id").agg(F.max(half).alias("need")).select(F.col("doc_id").alias("asker"), "need")
     asks = order.join(longest, order["asker"] == longest["asker"]).select(order["asker"], "asked", "need")
-    # One shuffle of the texts by doc_id serves both as documents and as those that follow.
-    printed = with_fingerprint(base, F.col("t"), "fp").select("doc_id", "t", "n_chars", "fp").repartition("doc_id")
+    # One shuffle of the texts serves both as documents and as those that follow: its key is
+    # never null, so no join adds a filter to one side, and both sides use all its columns.
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
+    printed = with_fingerprint(base, F.col("t"), "fp").select(key.alias("key"), "doc_id", "t", "n_chars", "fp").repartition("key")
     begun = (
-        printed.join(asks, printed["doc_id"] == asks["asked"])
-        .select("asker", F.substring("t", F.lit(1), F.col("need")).alias("head"), F.col("fp").alias("next_fp"))
+        printed.join(asks, printed["key"] == asks["asked"])
+        .select("asker", F.substring("t", F.lit(1), F.col("need")).alias("head"), F.col("fp").alias("next_fp"), "doc_id", "n_chars")
         .groupBy("asker")
-        .agg(F.min(F.struct("head", "next_fp")).alias("after"))
+        .agg(F.min(F.struct("head", "next_fp", "doc_id", "n_chars")).alias("after"))
     )
-    texts = printed.join(begun, printed["doc_id"] == begun["asker"], "left").select(
+    texts = printed.join(begun, printed["key"] == begun["asker"], "left").select(
         "doc_id",
         "n_chars",
         "fp",
