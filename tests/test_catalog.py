@@ -93,13 +93,13 @@ def test_rows_are_aggregated_before_any_shuffle(stored):
 def test_queries_start_no_job_while_they_are_built(spark, name):
     catalog()["hqla_detail"](spark, SF_DIR).count()
     context = spark.sparkContext
-    context.setJobGroup("building", "building")
+    context.setJobGroup(f"building {name}", name)
     try:
         catalog()[name](spark, SF_DIR)
-        jobs = context.statusTracker().getJobIdsForGroup("building")
+        jobs = context.statusTracker().getJobIdsForGroup(f"building {name}")
     finally:
         context._jsc.clearJobGroup()
-    assert len(jobs) <= 16  # file schemas, no counts
+    assert len(jobs) <= 10  # one per file schema, no counts
 
 
 @pytest.mark.parametrize("sf_dir", [SF_DIR, "/root/testdata/sf0.01"])
