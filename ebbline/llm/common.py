@@ -54,8 +54,9 @@ def words_of(text: Column) -> Column:
 def small_batches(spark: SparkSession, megabytes: int = 8) -> None:
     """Bound an Arrow batch by bytes, so that very long texts don't pile up in a worker.
 
-    Only an unbounded session default is replaced.
+    A larger bound is replaced, that of an operator earlier in the session included; a
+    smaller one stays.
     """
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(spark.conf.get(key, str(2**31 - 1)).rstrip("bB")) >= 2**31 - 1:
+    if int(spark.conf.get(key, str(2**31 - 1)).rstrip("bB")) > megabytes << 20:
         spark.conf.set(key, str(megabytes << 20))
