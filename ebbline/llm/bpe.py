@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ebbline.llm.common import small_batches
 
 #: Words a worker remembers at most before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 #: Longer words are merged one by one, shorter ones together.
 LONG_WORD = 256
 #: Rank of a pair that never merges.
