@@ -51,6 +51,8 @@ def main() -> None:
         .appName("ebbline-bench")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", cpus if cpus.isdigit() else "8")
+        .config("ebbline.lineitem.partitions", cpus if cpus.isdigit() else "8")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no call site per expression
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

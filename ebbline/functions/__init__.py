@@ -1 +1 @@
-"""Column-level building blocks: money arithmetic, forecast calendar, join sizing."""
+"""Column-level building blocks: money arithmetic, forecast calendar."""

@@ -54,7 +54,7 @@ def present(df: DataFrame) -> DataFrame:
 
 def baseline_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A baseline run of a week ago and one of now."""
-    facts = StarSchema(spark, sf_dir, busy=True).facts()
+    facts = StarSchema(spark, sf_dir).facts()
     runs = [
         stamp_run(run_forecast(facts, as_of), as_of, "lcr", run_id)
         for as_of, run_id in ((EARLIER, "first"), (AS_OF, "second"))
@@ -64,7 +64,7 @@ def baseline_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def repeated_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two baseline runs made at one instant: the second values a week earlier."""
-    facts = StarSchema(spark, sf_dir, busy=True).facts()
+    facts = StarSchema(spark, sf_dir).facts()
     runs = [
         stamp_run(run_forecast(facts, as_of), AS_OF, "lcr", run_id)
         for as_of, run_id in ((AS_OF, "a"), (EARLIER, "b"))
@@ -74,7 +74,7 @@ def repeated_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scenario_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scenario 1 a week ago, scenarios 1 and 2 now."""
-    book = StarSchema(spark, sf_dir, busy=True).book_with_rules()
+    book = StarSchema(spark, sf_dir).book_with_rules()
     runs = [
         stamp_run(run_what_if(book, ids, as_of), as_of, "what_if_lcr", run_id)
         for as_of, ids, run_id in ((EARLIER, ("1",), "first"), (AS_OF, ("1", "2"), "second"))
@@ -82,21 +82,19 @@ def scenario_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs[0].unionByName(runs[1])
 
 
-def _facts(build: Callable[[Book], DataFrame], busy: bool = False) -> Query:
+def _facts(build: Callable[[Book], DataFrame]) -> Query:
     """Query over the facts without unit lookups."""
-    return lambda spark, sf_dir: present(build(StarSchema(spark, sf_dir, busy).facts()))
+    return lambda spark, sf_dir: present(build(StarSchema(spark, sf_dir).facts()))
 
 
-def _book(
-    build: Callable[[Book], DataFrame], busy: bool = False, units: bool = True
-) -> Query:
+def _book(build: Callable[[Book], DataFrame], units: bool = True) -> Query:
     """Query over facts with their lookups, and dimensions."""
-    return lambda spark, sf_dir: present(build(StarSchema(spark, sf_dir, busy).book(units)))
+    return lambda spark, sf_dir: present(build(StarSchema(spark, sf_dir).book(units)))
 
 
-def _scenario(build: Callable[[Book], DataFrame], busy: bool = False) -> Query:
+def _scenario(build: Callable[[Book], DataFrame]) -> Query:
     """Query over all model tables, scenario rules included."""
-    return lambda spark, sf_dir: present(build(StarSchema(spark, sf_dir, busy).book_with_rules()))
+    return lambda spark, sf_dir: present(build(StarSchema(spark, sf_dir).book_with_rules()))
 
 
 def _rules(build: Callable[[DataFrame], DataFrame]) -> Query:
@@ -137,7 +135,7 @@ def _factors(kind: str) -> Query:
 
 def _compare(days: Sequence[int] = ()) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        schema = StarSchema(spark, sf_dir, busy=True)
+        schema = StarSchema(spark, sf_dir)
         baseline, scenarios = run_forecast(schema.facts(), AS_OF), run_what_if(schema.book_with_rules(), ("1", "2"), AS_OF)
         compared = hist.compare_runs(baseline, scenarios)
         return present(hist.on_days(compared, *days) if days else compared)
@@ -159,7 +157,7 @@ def _reconciliation(book: Book) -> DataFrame:
 
 
 def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    book = StarSchema(spark, sf_dir, busy=True).book_with_rules()
+    book = StarSchema(spark, sf_dir).book_with_rules()
     baseline = baseline_history(spark, sf_dir)
     tables = {
         **book.tables(),
@@ -182,14 +180,13 @@ def catalog() -> dict[str, Query]:
         # Projection, netting, ratio
         "hqla_detail": _facts(_detail),
         "hqla_projection_wide": _facts(lambda b: hqla_projection(_detail(b), AS_OF)),
-        "hqla_summary": _facts(lambda b: forecast_hqla(b, AS_OF), busy=True),
+        "hqla_summary": _facts(lambda b: forecast_hqla(b, AS_OF)),
         "hqla_summary_from_wide": _facts(
             lambda b: wide_summary(
                 hqla_projection(_detail(b), AS_OF), "total_hqla_usd", "total_hqla_usd"
             ),
-            busy=True,
         ),
-        "hqla_summary_by_level": _facts(lambda b: forecast_hqla(b, AS_OF, by=("hqla_level",)), busy=True),
+        "hqla_summary_by_level": _facts(lambda b: forecast_hqla(b, AS_OF, by=("hqla_level",))),
         "cash_inflow_projection_wide": _book(
             lambda b: cashflow_projection(b.cash_inflows, "inflow", AS_OF)
         ),
@@ -204,19 +201,18 @@ def catalog() -> dict[str, Query]:
                 "outflow_stock",
                 "total_outflow",
             ),
-            busy=True,
         ),
         "net_cashflow": _facts(lambda b: forecast_net(b, AS_OF)),
-        "lcr_baseline": _facts(lambda b: run_forecast(b, AS_OF), busy=True),
-        "lcr_baseline_midnight": _facts(lambda b: run_forecast(b, MIDNIGHT), busy=True),
-        "lcr_baseline_with_units": _book(lambda b: run_forecast(b, AS_OF), busy=True),
+        "lcr_baseline": _facts(lambda b: run_forecast(b, AS_OF)),
+        "lcr_baseline_midnight": _facts(lambda b: run_forecast(b, MIDNIGHT)),
+        "lcr_baseline_with_units": _book(lambda b: run_forecast(b, AS_OF)),
         # Scenarios
         **{f"factors_{kind}": _factors(kind) for kind in FACTOR_KINDS},
         "stressed_inflows": _stressed("cash_inflows"),
         "stressed_outflows": _stressed("cash_outflows"),
         "stressed_positions": _stressed("positions"),
-        "lcr_what_if": _scenario(lambda b: run_what_if(b, "1", AS_OF), busy=True),
-        "lcr_what_if_all": _scenario(lambda b: run_what_if(b, SCENARIOS, AS_OF), busy=True),
+        "lcr_what_if": _scenario(lambda b: run_what_if(b, "1", AS_OF)),
+        "lcr_what_if_all": _scenario(lambda b: run_what_if(b, SCENARIOS, AS_OF)),
         # History
         "latest_lcr": _history(hist.latest_lcr),
         "latest_what_if_lcr": _scenario_history(lambda h: hist.latest_what_if_lcr(h, "1")),
@@ -253,10 +249,9 @@ def catalog() -> dict[str, Query]:
         "exposure_by_security_type": _facts(ask.exposure_by_security_type),
         "lcr_drivers": _facts(
             lambda b: hist.lcr_drivers(forecast_hqla(b, AS_OF), forecast_net(b, AS_OF), 1, N_DAYS),
-            busy=True,
         ),
         "counterparties_by_type": _book(ask.counterparties_by_type, units=False),
-        "hqla_first_30_days": _facts(lambda b: ask.hqla_over(forecast_hqla(b, AS_OF), 30), busy=True),
+        "hqla_first_30_days": _facts(lambda b: ask.hqla_over(forecast_hqla(b, AS_OF), 30)),
         "flows_by_unit": _book(ask.flows_by_unit),
         "flows_by_counterparty_type": _book(ask.flows_by_counterparty_type, units=False),
         "flows_by_type": _facts(ask.flows_by_type),
@@ -293,7 +288,7 @@ def catalog() -> dict[str, Query]:
             )
         ),
         "missing_fields": _scenario(lambda b: quality.missing_fields(b.tables())),
-        "reconciliation": _facts(_reconciliation, busy=True),
+        "reconciliation": _facts(_reconciliation),
         "quality_report": lambda spark, sf_dir: present(_report(spark, sf_dir)),
         "quality_summary": lambda spark, sf_dir: present(
             quality.summary(_report(spark, sf_dir))

@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline.functions.money import MONEY
-from ebbline.functions.sizing import spread
 from ebbline.plans.jobs import Book
 from ebbline.sources.inline import inline_table
 from ebbline.sources.reference import RULE_COLUMNS
@@ -36,8 +35,10 @@ ASSET_CLASSES = [
 UNIT_TYPES = ("Treasury", "Trading", "Investment Banking", "Wealth Management")
 RATINGS = ("AAA", "AA", "A", "BBB", "BB")
 FLOW_SHARE = Decimal("0.195")
-# Columns that every use of line items reads.
-SPREAD_BY = ("l_extendedprice", "l_shipdate")
+# Setting of the session: partitions to deal line items to when they are read, for a file
+# whose one row group would be one task.  Unset, the scan is left as it is.
+PARTITIONS = "ebbline.lineitem.partitions"
+DEAL_BY = ("l_extendedprice", "l_shipdate")
 # Rules for the cases that matter: one given twice, ids hit by two rules, equal factors of
 # two rules, factors above 1, a value that nothing has and one filed under another column.
 RULES = [
@@ -68,21 +69,18 @@ def _cycle(values: Sequence[str], number: Column) -> Column:
 
 
 class StarSchema:
-    """Model tables over the Parquet files of one directory.
+    """Model tables over the Parquet files of one directory."""
 
-    ``busy`` says that much is computed per line item, which is worth spreading a small
-    file over the cores for.
-    """
-
-    def __init__(self, spark: SparkSession, sf_dir: str, busy: bool = False) -> None:
-        self.spark, self.sf_dir, self.busy = spark, sf_dir, busy
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark, self.sf_dir = spark, sf_dir
         self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
         if name not in self._raw:
             scan = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-            if self.busy and name == "lineitem":
-                scan = spread(scan, *SPREAD_BY)
+            partitions = self.spark.conf.get(PARTITIONS, None)
+            if partitions and name == "lineitem":
+                scan = scan.repartition(int(partitions), *DEAL_BY)
             self._raw[name] = scan
         return self._raw[name]
 

@@ -12,6 +12,7 @@ from ebbline.plans.catalog import catalog
 from ebbline.sources.reference import reference_table
 from ebbline.sources.sample import cash_flows, market_data, positions
 from ebbline.sources.tables import overwrite, read_table
+from ebbline.sources.testdata import PARTITIONS, StarSchema
 from oracle.sql import statements
 from tests import fixtures as fx
 from tests.check_oracle import connect, mismatch
@@ -102,6 +103,18 @@ def test_queries_start_no_job_while_they_are_built(spark, name):
     assert len(jobs) <= 10  # one per file schema, no counts
 
 
+def test_line_items_are_dealt_only_if_the_session_asks(spark):
+    def shuffled(n):
+        return f"hashpartitioning(l_extendedprice#0, l_shipdate#0, {n})" in re.sub(r"#\d+", "#0", plan(StarSchema(spark, SF_DIR).raw("lineitem")))
+
+    assert not shuffled(3)
+    spark.conf.set(PARTITIONS, "3")
+    try:
+        assert shuffled(3)
+    finally:
+        spark.conf.unset(PARTITIONS)
+
+
 @pytest.mark.parametrize("sf_dir", [SF_DIR, "/root/testdata/sf0.01"])
 def test_lookups_that_facts_leave_out_resolve(sql, sf_dir):
     """Forecast queries skip these N:1 lookups, which changes no row only if each finds its one."""
