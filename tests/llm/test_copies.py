@@ -1,0 +1,84 @@
+from __future__ import annotations
+
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from ebbline.llm import copies, simhash
+from ebbline.llm.simhash import roots
+from tests.llm.conftest import SF
+
+WORD = re.compile("[^\x20\x09-\x0d]+")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def five_words(text: str | None) -> frozenset:
+    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return frozenset(tuple(words[i : i + 5]) for i in range(max(len(words) - 4, min(len(words), 1))))
+
+
+def brute(rows: list) -> list[int]:
+    """Indices of the rows (doc_id, text, ...) that stay, by comparing all pairs."""
+    sets = [five_words(r[1]) for r in rows]
+    a, b = [], []
+    for i, x in enumerate(sets):
+        for j in range(i):
+            union = len(x | sets[j])
+            if union == 0 or len(x & sets[j]) / union >= 0.8:
+                a.append(i)
+                b.append(j)
+    root = roots(len(rows), np.array(a, dtype=int), np.array(b, dtype=int))
+    least: dict = {}
+    for r, row in zip(root, rows, strict=True):
+        if row[0] is not None:
+            least[r] = min(least.get(r, row[0]), row[0])
+    return [i for i, (r, row) in enumerate(zip(root, rows, strict=True)) if row[0] is None or row[0] == least[r]]
+
+
+def planted(rng: np.random.Generator, families: int = 40, copies_of: int = 6) -> list:
+    """Texts and copies of them with one to a tenth of their words changed, in any order."""
+    texts = []
+    for f in range(families):
+        words = [f"w{i}" for i in rng.integers(0, 3000, int(rng.integers(8, 250)))]
+        for _ in range(copies_of):
+            changed = list(words)
+            for i in rng.integers(0, len(words), int(rng.integers(0, 2 + len(words) // 40))):
+                changed[i] = f"x{rng.integers(0, 3000)}"
+            texts.append(" ".join(changed))
+    ids = rng.permutation(len(texts)) + 1
+    return [(int(i), t, "en", "a", len(t)) for i, t in zip(ids, texts, strict=True)]
+
+
+def test_the_stage_equals_brute_force_on_planted_near_copies(spark):
+    rows = planted(np.random.default_rng(8))
+    rows += [(1000, "", "en", "a", 0), (1001, None, "en", "a", 0), (1002, "three short words", "en", "a", 17), (1003, "Three  short words", "en", "a", 18)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = sorted(rows[i][0] for i in brute(rows))
+    assert sorted(r.doc_id for r in corpus_pipeline.simhash_dedup(spark, df, SF).collect()) == want
+    assert simhash.near_dedup(df).count() > len(want) + 50  # two bits leave many of them in
+
+
+@pytest.mark.parametrize("stars", [0, 1])
+def test_every_round_keeps_the_result(spark, monkeypatch, stars):
+    monkeypatch.setattr(copies, "STARS", stars)
+    rows = planted(np.random.default_rng(9), families=4, copies_of=40)
+    kept = copies.near_dedup(spark.createDataFrame(rows, SCHEMA))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(rows[i][0] for i in brute(rows))
+
+
+def test_the_stage_equals_brute_force_on_test_data(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    kept = sorted(r.doc_id for r in corpus_pipeline.simhash_dedup(spark, docs, SF).collect())
+    assert kept == sorted(rows[i][0] for i in brute(rows))
+
+
+def test_odd_rows(spark, odd, nothing):
+    kept = copies.near_dedup(odd)
+    found = [(r.doc_id, r.text) for r in kept.collect()]
+    rows = [tuple(r) for r in odd.collect()]
+    assert kept.columns == odd.columns and sorted(found, key=str) == sorted([rows[i][:2] for i in brute(rows)], key=str)
+    assert copies.near_dedup(nothing).count() == 0
