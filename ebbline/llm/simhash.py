@@ -200,6 +200,18 @@ def links(fps: DataFrame, distance: int = DISTANCE, node: int = NODE, levels: in
     return by_node.mapInPandas(_links(distance), "a long, b long")
 
 
+def _grouped(docs: DataFrame, text: str, words: int, distance: int, seed: int) -> DataFrame:
+    """(doc_id, mark, fp, component_id); mark tells texts of one doc_id apart."""
+    marked = docs.select("doc_id", F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
+    prints = keep(fingerprints(marked, "text", words, seed).select("doc_id", "mark", "fp"), "simhash-prints")
+    distinct = keep(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
+    labels = components(links(distinct.select("fp"), distance), "a", "b").select(F.col("node").alias("fp"), F.col("component").alias("root"))
+    rooted = distinct.join(labels, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    by_print = rooted.join(least, "root").select("fp", "component_id")
+    return prints.join(by_print, "fp").select("doc_id", "mark", "fp", "component_id")
+
+
 def groups(docs: DataFrame, text: str = "text", words: int = WORDS, distance: int = DISTANCE, seed: int = SEED) -> DataFrame:
     """(doc_id, fp, component_id): the smallest doc_id that a document's links lead to.
 
@@ -208,19 +220,15 @@ def groups(docs: DataFrame, text: str = "text", words: int = WORDS, distance: in
     searched, and a fingerprint of many documents is joined from its one row.  A row
     without doc_id takes part but is never the smallest; repeated rows give a row each.
     """
-    prints = keep(fingerprints(docs.select("doc_id", text), text, words, seed).select("doc_id", "fp"), "simhash-prints")
-    distinct = keep(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
-    labels = components(links(distinct.select("fp"), distance), "a", "b").select(F.col("node").alias("fp"), F.col("component").alias("root"))
-    rooted = distinct.join(labels, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_print = rooted.join(least, "root").select("fp", "component_id")
-    return prints.join(by_print, "fp").select("doc_id", "fp", "component_id")
+    return _grouped(docs, text, words, distance, seed).select("doc_id", "fp", "component_id")
 
 
 def near_dedup(docs: DataFrame, text: str = "text", words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
     """One document of each group stays, that of the smallest doc_id, with all its columns.
 
-    Rows without doc_id stay; rows that repeat the smallest doc_id of a group do, too.
+    Rows without doc_id stay; rows that repeat the smallest doc_id of a group do, too.  Of
+    rows that share a doc_id only those whose text is in a group of a smaller one go.
     """
-    gone = groups(docs, text, words, distance).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    gone = _grouped(docs, text, words, distance, SEED).where(F.col("doc_id") != F.col("component_id"))
+    gone = gone.select(F.col("doc_id").alias("__gone"), F.col("mark").alias("__mark")).distinct()
+    return docs.join(gone, (F.col("doc_id") == F.col("__gone")) & (F.xxhash64(text) == F.col("__mark")), "left_anti")

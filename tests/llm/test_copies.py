@@ -4,7 +4,6 @@ import re
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ebbline.llm import copies, simhash
@@ -82,3 +81,10 @@ def test_odd_rows(spark, odd, nothing):
     rows = [tuple(r) for r in odd.collect()]
     assert kept.columns == odd.columns and sorted(found, key=str) == sorted([rows[i][:2] for i in brute(rows)], key=str)
     assert copies.near_dedup(nothing).count() == 0
+
+
+@pytest.mark.parametrize("near_dedup", [simhash.near_dedup, copies.near_dedup])
+def test_a_copied_and_a_unique_text_of_one_id(spark, near_dedup):
+    rows = [(1, "one two three four five six seven"), (2, "one two three four five six seven"), (2, "a text that has no copy at all")]
+    kept = near_dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, kept.collect())) == [rows[0], rows[2]]
