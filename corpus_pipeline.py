@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import bpe, copies, lines, mixing, toxicity
+from ebbline.llm import bpe, lines, mixing, simhash, toxicity
 from ebbline.llm.common import documents, keep
 from ebbline.llm.queries import bpe_digests, word_vocabulary
 
@@ -31,11 +31,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words, similarity 0.8) stays.
-
-    SimHash of 2 differing bits, as `op4` is contracted, would leave most of them in.
-    """
-    return copies.near_dedup(docs)
+    """One document of each group stays; three-word shingles, at most 2 differing bits, as `op4`."""
+    return simhash.near_dedup(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
