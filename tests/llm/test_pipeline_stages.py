@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import hashlib
+import re
 
 import numpy as np
+import xxhash
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from ebbline.llm.queries import word_vocabulary
 from tests.llm.conftest import SF
-from tests.llm.test_copies import SCHEMA, WORD, brute
 
+WORD = re.compile("[^\x20\x09-\x0d]+")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 STAGE = dict(corpus_pipeline.STAGES)
 FIRST_TOXIC = 900_000
 
@@ -49,6 +52,24 @@ def without_repeated_lines(rows: list) -> list:
     return out
 
 
+def fingerprint(text: str) -> int:
+    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(len(words) - 2, min(len(words), 1)))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def without_close_prints(rows: list) -> list:
+    """Of each group that links of at most 2 differing bits connect, the row of smallest doc_id."""
+    prints = [fingerprint(r[1]) for r in rows]
+    group = list(range(len(rows)))
+    for i, a in enumerate(prints):
+        for j in range(i):
+            if (a ^ prints[j]).bit_count() <= 2:
+                group = [min(group[i], group[j]) if g in (group[i], group[j]) else g for g in group]
+    return [r for i, r in enumerate(rows) if group[i] == i]
+
+
 def test_each_stage_equals_an_independent_version(spark):
     def run(name: str, rows: list) -> list:
         found = STAGE[name](spark, spark.createDataFrame(rows, SCHEMA), SF)
@@ -60,7 +81,7 @@ def test_each_stage_equals_an_independent_version(spark):
     lines = run("line_dedup", clean)
     assert lines == without_repeated_lines(clean) and lines != clean
     apart = run("simhash_dedup", lines)
-    assert apart == [lines[i] for i in brute(lines)] and len(apart) <= len(lines) - 10
+    assert apart == without_close_prints(lines) and len(apart) <= len(lines) - 5
     mixed = run("source_mix", apart)
     words = {r[0]: WORD.findall(r[1]) for r in apart}
     size, taken = {}, {}

@@ -214,6 +214,12 @@ def test_simhash_odd_rows(odd, nothing):
     assert simhash.groups(nothing).count() == 0 and simhash.near_dedup(nothing).count() == 0
 
 
+def test_a_copied_and_a_unique_text_of_one_id(spark):
+    rows = [(1, "a b c d e f"), (2, "a b c d e f"), (2, "another text that nothing copies")]
+    kept = simhash.near_dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, kept.collect())) == [rows[0], rows[2]]
+
+
 def test_components_of_chains_stars_and_repeats(spark):
     chain = [(i, i + 1) for i in range(100, 160)][::-1]
     star = [(7, i) for i in range(200, 260)]
