@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import bpe, embeddings, lines, minhash, mixing, quality, secrets, simhash, toxicity, warc
+from ebbline.llm import bpe, embeddings, lines, minhash, mixing, quality, secrets, simhash, toxicity, warc, whitening
 from ebbline.llm.common import documents, shared_folder
 
 
@@ -95,6 +95,12 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(documents(spark, sf_dir, "embeddings"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of every vector on the leading components."""
+    vectors = documents(spark, sf_dir, "embeddings")
+    return whitening.whiten(vectors).withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -108,6 +114,7 @@ QUERIES = {
         op8_minhash_fingerprints,
         op9_line_dedup,
         op10_embedding_dedup,
+        op11_whitening,
     )
 }
 
