@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import bpe, embeddings, lines, minhash, mixing, quality, secrets, simhash, toxicity, warc, whitening
+from ebbline.llm import bpe, embeddings, lines, minhash, mixing, quality, secrets, simhash, toxicity, trie, warc, whitening
 from ebbline.llm.common import documents, shared_folder
 
 
@@ -101,6 +101,11 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(vectors).withColumn("deviation", F.col("deviation").try_cast("long"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of the rebuilt conversations."""
+    return trie.trie(trie.rebuilt(trie.ranked(documents(spark, sf_dir, "conversations"))))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -115,6 +120,7 @@ QUERIES = {
         op9_line_dedup,
         op10_embedding_dedup,
         op11_whitening,
+        op12_conversation_trie,
     )
 }
 
