@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import bpe, embeddings, lines, minhash, mixing, quality, secrets, simhash, toxicity, trie, warc, whitening
+from ebbline.llm import bpe, embeddings, licenses, lines, minhash, mixing, quality, secrets, simhash, toxicity, trie, warc, whitening
 from ebbline.llm.common import documents, shared_folder
 
 
@@ -106,6 +106,23 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.trie(trie.rebuilt(trie.ranked(documents(spark, sf_dir, "conversations"))))
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices of every text."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = licenses.scan(docs).select("doc_id", "licenses.n_words", "licenses.places")
+    base = F.filter("places", lambda p: p["exact"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(base["first_word"]).alias("first_word"),
+        F.array_max(base["first_word"]).alias("last_word"),
+        licenses.labels_of(base).alias("base_labels"),
+        licenses.labels_of(F.col("places")).alias("labels"),
+        F.coalesce(F.array_max(F.col("places.share")), F.lit(0.0)).alias("score"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -121,6 +138,7 @@ QUERIES = {
         op10_embedding_dedup,
         op11_whitening,
         op12_conversation_trie,
+        op13_license_scan,
     )
 }
 
