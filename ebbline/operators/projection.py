@@ -15,7 +15,7 @@ import datetime as dt
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbline.functions.calendar import CASH_FLOW, POSITION, live_days, survives
@@ -121,7 +121,10 @@ def cashflow_daily(
     """Outstanding flow per forecast day as (by.., day_number, total_<direction>).
 
     Flows are not decayed or rounded, so they are first summed by how long they live
-    and only those ``n_days + 1`` sums are laid out over the days.
+    and only those ``n_days + 1`` sums are laid out over the days.  With ``by`` there are
+    such sums for each group; they are added up from the longest life down and each total
+    then stands for the days since the next shorter life, so what is shuffled are the
+    lives that a group has, not its days.
     """
     side = direction.lower()
     buckets = (
@@ -134,6 +137,8 @@ def cashflow_daily(
         .groupBy(*by, "live")
         .agg(F.sum("amount").alias("amount"))
     )
+    if by:
+        return _days_of_lives(buckets, f"total_{side}", n_days, by)
     day = F.col("day_number")
     return (
         buckets.select(
@@ -151,6 +156,22 @@ def cashflow_daily(
     )
 
 
+def _days_of_lives(buckets: DataFrame, total: str, n_days: int, by: Sequence[str]) -> DataFrame:
+    """Daily totals of (by.., live, amount): a day has the amounts that live at least as long."""
+    longer = Window.partitionBy(*by).orderBy(F.col("live").desc())
+    alive = F.sum("amount").over(longer.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    summed = buckets.select(*by, "live", alive.cast(TOTAL).alias("alive"), F.lead("live", 1, 0).over(longer).alias("shorter"), F.lag("live").over(longer).isNull().alias("longest"))
+    zero = F.lit(0).cast(TOTAL)
+
+    def span(first: Column, last: Column, value: Column) -> Column:
+        days = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+        return F.transform(days, lambda d: F.struct(d.alias("day_number"), value.alias(total)))
+
+    own = span(F.col("shorter") + 1, F.col("live"), F.col("alive"))
+    after = F.when(F.col("longest"), span(F.col("live") + 1, F.lit(n_days), zero))
+    return summed.select(*by, F.inline(F.concat(own, F.coalesce(after, span(F.lit(1), F.lit(0), zero)))))
+
+
 def hqla_projection(
     detail: DataFrame,
     as_of: dt.datetime,

@@ -49,6 +49,22 @@ def test_cashflow_daily_on_maturity_edges(spark, as_of):
     assert fx.by_day(daily, "total_inflow") == plain
 
 
+@pytest.mark.parametrize("as_of", INSTANTS)
+def test_cashflow_daily_by_group_shuffles_lives_and_not_days(spark, as_of):
+    rng = random.Random(5)
+    groups = ["A", "B", "C", "D", None]
+    rows = [(f"I{i}", "U1", groups[i % 4], f"{rng.randint(1, 10**9)}.{i % 90 + 10}", fx.day(rng.choice([-1, 0, 1, 2, 7, 39, 40, 41, 90]))) for i in range(60)]
+    rows += [("I-", "U1", "D", "5.00", None), ("I--", "U1", None, "6.25", fx.day(3)), ("I---", "U1", "E", "1.00", fx.day(-2))]
+    daily = cashflow_daily(fx.flows(spark, "inflow", rows), "inflow", as_of, 40, ("counterparty_id",))
+    have = daily.collect()
+    for group in (*groups, "E"):
+        plain = fx.plain_flow([(Decimal(r[3]), r[4]) for r in rows if r[2] == group], as_of, 40)
+        assert {r.day_number: r.total_inflow for r in have if r.counterparty_id == group} == plain
+    assert len(have) == sum(40 for g in groups) and daily.schema["total_inflow"].dataType.simpleString() == "decimal(38,2)"
+    text = daily._jdf.queryExecution().executedPlan().toString()
+    assert text.index("Generate") < text.index("Exchange")  # days come last, after every shuffle
+
+
 def test_flow_due_today_counts_only_at_midnight(spark):
     flow = fx.flows(spark, "outflow", [("O", "U1", "C1", "7.00", fx.TODAY)])
     assert cashflow_daily(flow, "outflow", fx.NOON, 3).count() == 0
