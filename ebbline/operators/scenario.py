@@ -47,11 +47,20 @@ def _matches(
 
 
 def _product(factors: Column) -> Column:
-    """Product of an array of (factor, times), taken in ascending factor order."""
+    """Product of an array of (factor, times), taken in ascending factor order.
+
+    A power is taken in decimals, by squaring and multiplying along the binary digits of its
+    exponent: exact to 12 decimals, of which six equal factors need no more.
+    """
 
     def power(entry: Column) -> Column:
         once = entry["factor"].cast(FACTOR)
-        many = fitted(F.round(F.pow(entry["factor"].cast("double"), entry["times"]), 12), FACTOR, "factor")
+
+        def step(acc: Column, digit: Column) -> Column:
+            square = fitted(acc * acc, FACTOR, "factor")
+            return F.when(digit == "1", fitted(square * once, FACTOR, "factor")).otherwise(square)
+
+        many = F.aggregate(F.split(F.bin(entry["times"]), "(?<=.)(?=.)"), F.lit(1).cast(FACTOR), step)
         return F.when(entry["times"] == 1, once).otherwise(many)
 
     return F.aggregate(

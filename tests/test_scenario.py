@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 import pytest
 from pyspark.sql import functions as F
@@ -69,6 +69,22 @@ def test_repeated_rules_and_repeated_entities_count_each_time(spark):
     assert cp_factors(spark, [rule], twice) == {("1", "C2"): Decimal("0.81")}
 
 
+@pytest.mark.parametrize("factor, times", [("4641.58", 3), ("-21.44", 8), ("0.97", 20), ("1.01", 13), ("99999999.99", 1), ("0.00", 2)])
+def test_powers_of_equal_factors_are_decimal(spark, factor, times):
+    """Up to 23 digits, where a double has 17; each step is rounded to 12 decimals."""
+    step = Decimal(1).scaleb(-12)
+    want = Decimal(1)
+    with localcontext() as context:
+        context.prec = 60
+        for digit in f"{times:b}":
+            want = (want * want).quantize(step, ROUND_HALF_UP)
+            want = (want * Decimal(factor)).quantize(step, ROUND_HALF_UP) if digit == "1" else want
+        exact = Decimal(factor) ** times
+        assert abs(want - exact) <= (0 if 2 * times <= 12 else Decimal("1e-11") * max(1, abs(exact)))
+    rule = ("1", *CP, "REGION", "Asia", float(Decimal(factor) - 1))
+    assert cp_factors(spark, [rule] * times) == {("1", "C2"): want}
+
+
 def test_rules_of_other_tables_and_scenarios_are_ignored(spark):
     rows = [
         ("1", *IN_UNIT, "REGION", "Asia", -0.1),
