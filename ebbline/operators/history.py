@@ -14,38 +14,41 @@ FLOOR = 1.0
 SERIES = ("day_number", "total_net_cash_outflows", "hqla", "lcr")
 
 
-def latest_run(history: DataFrame) -> DataFrame:
-    """Rows of the newest run of a history; of runs made at one instant, that of the largest id."""
-    newest = history.agg(F.max(F.struct("created_timestamp", "run_id")).alias("newest"))
-    return history.join(F.broadcast(newest), _same_run(), "left_semi")
+def _stamp() -> Column:
+    return F.struct("created_timestamp", "run_id")
 
 
-def _same_run() -> Column:
-    """Whether a row is of the run ``newest``; runs without id are one run per instant."""
-    return (F.col("created_timestamp") == F.col("newest.created_timestamp")) & F.col("run_id").eqNullSafe(
-        F.col("newest.run_id")
-    )
+def latest_run(history: DataFrame) -> DataFrame:
+    """Rows of the newest run of a history; of runs made at one instant, that of the largest id.
+
+    The newest stamp is a subquery, so rows are filtered and not joined.  Runs without id are
+    one run per instant.  A stored history knows its newest run without being read:
+    see ``ebbline.sources.runs.latest``.
+    """
+    return history.where(_stamp().eqNullSafe(history.agg(F.max(_stamp())).scalar()))
 
 
 def latest_run_per_scenario(history: DataFrame) -> DataFrame:
-    """Rows of the newest run of every scenario.
+    """Rows of the newest run of every scenario; the subquery has a stamp for each scenario."""
+    newest = history.groupBy("what_if_id").agg(F.max(_stamp()).alias("newest"))
+    stamps = newest.agg(F.collect_list(F.struct("what_if_id", "newest.created_timestamp", "newest.run_id")))
+    return history.where(F.array_contains(stamps.scalar(), F.struct("what_if_id", "created_timestamp", "run_id")))
 
-    The newest stamps are as many as scenarios; they are joined without a hint, so the
-    planner decides by their size.
-    """
-    newest = history.groupBy(F.col("what_if_id").alias("of")).agg(F.max(F.struct("created_timestamp", "run_id")).alias("newest"))
-    return history.join(newest, (F.col("what_if_id") == F.col("of")) & _same_run(), "left_semi")
+
+def trend(run: DataFrame, *keys: str) -> DataFrame:
+    """The ratio of one run, by day."""
+    return run.select(*keys, *SERIES).orderBy(*keys, F.asc_nulls_first("day_number"))
 
 
 def latest_lcr(history: DataFrame) -> DataFrame:
     """Trend of the newest baseline run, by day."""
-    return latest_run(history).select(*SERIES).orderBy(F.asc_nulls_first("day_number"))
+    return trend(latest_run(history))
 
 
 def latest_what_if_lcr(history: DataFrame, what_if_id: str) -> DataFrame:
     """Trend of the newest run of one scenario, by day."""
     one = history.filter(F.col("what_if_id").cast("string") == str(what_if_id))
-    return latest_run(one).select("what_if_id", *SERIES).orderBy("day_number")
+    return trend(latest_run(one), "what_if_id")
 
 
 def within(series: DataFrame, horizon: int) -> DataFrame:
@@ -80,19 +83,27 @@ def headline(series: DataFrame, day: int = 1, floor: float = FLOOR) -> DataFrame
     )
 
 
-def lcr_change_analysis(history: DataFrame, horizon: int = 150) -> DataFrame:
-    """Newest run with day-over-day changes.
+def change_analysis(run: DataFrame, horizon: int = 150) -> DataFrame:
+    """One run with day-over-day changes.
 
     The window has no partition key, yet holds one run: at most ``horizon`` rows.
     """
-    run = within(latest_run(history), horizon)
-    return _changes(run, W.orderBy("day_number")).orderBy("day_number")
+    return _changes(within(run, horizon), W.orderBy("day_number")).orderBy("day_number")
+
+
+def scenario_change_analysis(run: DataFrame, horizon: int = 150) -> DataFrame:
+    """As :func:`change_analysis` for one run of each scenario."""
+    return _changes(within(run, horizon), W.partitionBy("what_if_id").orderBy("day_number"), "what_if_id")
+
+
+def lcr_change_analysis(history: DataFrame, horizon: int = 150) -> DataFrame:
+    """:func:`change_analysis` of the newest run."""
+    return change_analysis(latest_run(history), horizon)
 
 
 def what_if_change_analysis(history: DataFrame, horizon: int = 150) -> DataFrame:
-    """As :func:`lcr_change_analysis` for the newest run of every scenario."""
-    window = W.partitionBy("what_if_id").orderBy("day_number")
-    return _changes(within(latest_run_per_scenario(history), horizon), window, "what_if_id")
+    """:func:`scenario_change_analysis` of the newest run of every scenario."""
+    return scenario_change_analysis(latest_run_per_scenario(history), horizon)
 
 
 def _changes(run: DataFrame, window: W, *keys: str) -> DataFrame:

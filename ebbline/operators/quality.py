@@ -8,39 +8,71 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.operators.semantic import MODEL, RELATIONSHIPS, VERIFIED_QUERIES
+from ebbline.operators.semantic import MODEL, RELATIONSHIPS, VERIFIED_QUERIES, Relationship
 from ebbline.sources.schemas import missing_and_extra
 
 REPORT = "check string, object string, status string, metric double, detail string"
 
 
-def _row(check: str, obj: str, status: Column, metric: Column, detail: Column) -> list[Column]:
-    return [
+def _union(parts: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _line(check: str, obj: str, status: Column | str, metric: Column, detail: Column | str) -> Column:
+    """A report row as a struct."""
+    status, detail = (F.lit(x) if isinstance(x, str) else x for x in (status, detail))
+    return F.struct(
         F.lit(check).alias("check"),
         F.lit(obj).alias("object"),
         status.alias("status"),
         metric.cast("double").alias("metric"),
-        detail.alias("detail"),
-    ]
+        detail.cast("string").alias("detail"),
+    )
 
 
-def _union(parts: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
+def _links_of(name: str, tables: dict[str, DataFrame]) -> list[Relationship]:
+    return [link for link in RELATIONSHIPS if link.left == name and link.right in tables]
+
 
+def profile(name: str, tables: dict[str, DataFrame]) -> DataFrame:
+    """One row on a table: row_count, and orphans_<relationship> for each link it has.
 
-def check_tables(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
-    """Every table of the model is present and has rows."""
+    The table is read once, for all its links: rows are counted by their link values before
+    those are looked up, so a hot value is one row for each task.  A NULL link value is an
+    orphan.
+    """
+    links = _links_of(name, tables)
+    columns = list(dict.fromkeys(link.left_column for link in links))
+    counted = tables[name].groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+    orphaned = []
+    for link in links:
+        found = f"found_{link.name}"
+        partners = tables[link.right].select(F.col(link.right_column).alias(f"{found}_key"), F.lit(True).alias(found)).distinct()
+        counted = counted.join(partners, F.col(link.left_column) == F.col(f"{found}_key"), "left")
+        lost = F.sum(F.when(F.col(found).isNull(), F.col("n")))
+        orphaned.append(F.coalesce(lost, F.lit(0)).alias(f"orphans_{link.name}"))
+    return counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), *orphaned)
+
+
+def check_contents(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
+    """Every table of the model is present and has rows, and every link finds its partner.
+
+    One pass over each table.
+    """
     parts = []
     for name in MODEL:
-        if name in tables:
-            n = F.col("n")
-            status = F.when(n > 0, "PASS").otherwise("WARN")
-            detail = F.when(n > 0, "has rows").otherwise("empty")
-            counted = tables[name].agg(F.count(F.lit(1)).alias("n"))
-            parts.append(counted.select(*_row("table", name, status, n, detail)))
-        else:
-            missing = F.lit("FAIL"), F.lit(-1), F.lit("table is missing")
-            parts.append(spark.range(1).select(*_row("table", name, *missing)))
+        if name not in tables:
+            missing = _line("table", name, "FAIL", F.lit(-1), "table is missing")
+            parts.append(spark.range(1).select(F.inline(F.array(missing))))
+            continue
+        n = F.col("row_count")
+        some = F.when(n > 0, "PASS").otherwise("WARN"), n, F.when(n > 0, "has rows").otherwise("empty")
+        lines = [_line("table", name, *some)]
+        for link in _links_of(name, tables):
+            lost = F.col(f"orphans_{link.name}")
+            detail = F.concat(lost.cast("string"), F.lit(" of "), n.cast("string"), F.lit(" rows"))
+            lines.append(_line("relationship", link.name, F.when(lost == 0, "PASS").otherwise("WARN"), lost, detail))
+        parts.append(profile(name, tables).select(F.inline(F.array(*lines))))
     return _union(parts)
 
 
@@ -61,42 +93,15 @@ def check_columns(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFram
 
 
 def orphans(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows of each relationship's left table that find no partner.
-
-    Link values are counted before they are looked up, so the anti join sees one row
-    per value.  A NULL link value is an orphan.
-    """
+    """Rows of each relationship's left table that find no partner, one pass over each table."""
     parts = []
-    for link in RELATIONSHIPS:
-        if link.left not in tables or link.right not in tables:
-            continue
-        counted = tables[link.left].groupBy(F.col(link.left_column).alias("link")).agg(
-            F.count(F.lit(1)).alias("n")
-        )
-        partners = tables[link.right].select(
-            F.col(link.right_column).alias("link"), F.lit(True).alias("found")
-        ).distinct()
-        joined = counted.join(partners, "link", "left")
-        parts.append(
-            joined.agg(
-                F.coalesce(F.sum(F.when(F.col("found").isNull(), F.col("n"))), F.lit(0)).alias(
-                    "orphan_count"
-                ),
-                F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
-            ).select(
-                F.lit(link.name).alias("relationship"),
-                "orphan_count",
-                "row_count",
-                F.round(
-                    F.coalesce(
-                        F.try_divide(F.col("orphan_count") * F.lit(100.0), F.col("row_count")),
-                        F.lit(0.0),
-                    ),
-                    4,
-                ).alias("orphan_percent"),
-            )
-        )
-    return _union(parts)
+    for name in dict.fromkeys(link.left for link in RELATIONSHIPS):
+        links = _links_of(name, tables) if name in tables else []
+        if links:
+            lost = [F.struct(F.lit(link.name).alias("relationship"), F.col(f"orphans_{link.name}").alias("orphan_count")) for link in links]
+            parts.append(profile(name, tables).select("row_count", F.inline(F.array(*lost))))
+    percent = F.coalesce(F.try_divide(F.col("orphan_count") * F.lit(100.0), F.col("row_count")), F.lit(0.0))
+    return _union(parts).select("relationship", "orphan_count", "row_count", F.round(percent, 4).alias("orphan_percent"))
 
 
 def orphan_rows(tables: dict[str, DataFrame], relationship: str) -> DataFrame:
@@ -108,44 +113,48 @@ def orphan_rows(tables: dict[str, DataFrame], relationship: str) -> DataFrame:
     return left.join(right, F.col(link.left_column) == F.col("partner"), "left_anti")
 
 
-def check_relationships(tables: dict[str, DataFrame]) -> DataFrame:
-    """Orphans of every relationship as report rows."""
-    count = F.col("orphan_count")
-    return orphans(tables).select(
-        F.lit("relationship").alias("check"),
-        F.col("relationship").alias("object"),
-        F.when(count == 0, "PASS").otherwise("WARN").alias("status"),
-        count.cast("double").alias("metric"),
-        F.concat(
-            count.cast("string"), F.lit(" of "), F.col("row_count").cast("string"), F.lit(" rows")
-        ).alias("detail"),
-    )
-
-
-def check_verified_queries(history: DataFrame) -> DataFrame:
-    """Every verified query returns rows."""
+def check_verified_queries(run: DataFrame) -> DataFrame:
+    """Every verified query returns rows for the newest run of the history."""
     parts = []
     for name, query in VERIFIED_QUERIES.items():
         n = F.col("n")
-        some = query(history).limit(1).agg(F.count(F.lit(1)).alias("n"))
-        status = F.when(n > 0, "PASS").otherwise("WARN")
-        detail = F.when(n > 0, "returns rows").otherwise("no rows")
-        parts.append(some.select(*_row("verified query", name, status, n, detail)))
+        some = query(run).limit(1).agg(F.count(F.lit(1)).alias("n"))
+        status, detail = F.when(n > 0, "PASS").otherwise("WARN"), F.when(n > 0, "returns rows").otherwise("no rows")
+        parts.append(some.select(F.inline(F.array(_line("verified query", name, status, n, detail)))))
     return _union(parts)
 
 
-def check_all(
-    spark: SparkSession, tables: dict[str, DataFrame], history: DataFrame
-) -> DataFrame:
-    """All four checks in one report."""
-    return _union(
-        [
-            check_tables(spark, tables),
-            check_columns(spark, tables),
-            check_relationships(tables),
-            check_verified_queries(history),
-        ]
-    )
+def check_all(spark: SparkSession, tables: dict[str, DataFrame], run: DataFrame) -> DataFrame:
+    """All checks in one report; ``run`` is the newest run of the baseline history."""
+    return _union([check_contents(spark, tables), check_columns(spark, tables), check_verified_queries(run)])
+
+
+def duplicate_keys(tables: dict[str, DataFrame]) -> DataFrame:
+    """For each declared key: rows, distinct keys, rows beyond the first of their key, NULL keys.
+
+    Keys are counted before they meet, so one that very many rows repeat is a row for each
+    task.  A key with a NULL part is none, and isn't compared with others.
+    """
+    parts = []
+    for name, table in MODEL.items():
+        if name not in tables or not table.primary_key:
+            continue
+        whole = reduce(Column.__and__, [F.col(c).isNotNull() for c in table.primary_key])
+        counted = tables[name].groupBy(*table.primary_key).agg(F.count(F.lit(1)).alias("n")).withColumn("whole", whole)
+        rows, keys = (F.coalesce(x, F.lit(0)) for x in (F.sum("n"), F.count_if("whole")))
+        held = F.coalesce(F.sum(F.when(F.col("whole"), F.col("n"))), F.lit(0))
+        parts.append(
+            counted.agg(rows.alias("row_count"), keys.alias("distinct_keys"), held.alias("held")).select(
+                F.lit(name).alias("table_name"),
+                F.lit(", ".join(table.primary_key)).alias("key_columns"),
+                "row_count",
+                "distinct_keys",
+                (F.col("held") - F.col("distinct_keys")).alias("duplicate_rows"),
+                (F.col("row_count") - F.col("held")).alias("null_keys"),
+                F.when(F.col("row_count") == F.col("distinct_keys"), "PASS").otherwise("FAIL").alias("status"),
+            )
+        )
+    return _union(parts)
 
 
 def summary(report: DataFrame) -> DataFrame:
@@ -186,24 +195,3 @@ def reconcile_days(row_daily: DataFrame, daily: DataFrame, total: str, name: str
         gap.alias("difference"),
         F.when(gap == 0, "PASS").otherwise("FAIL").alias("status"),
     )
-
-
-def reconcile(row_total: DataFrame, day_total: DataFrame, name: str) -> DataFrame:
-    """Sum of the live rows against one day of the daily totals.
-
-    Both inputs are one row with a column ``usd``.
-    """
-    both = row_total.select("usd", F.lit(True).alias("by_row")).union(
-        day_total.select("usd", F.lit(False))
-    )
-    gap = F.col("row_total") - F.col("day_total")
-    return both.agg(
-        F.max(F.when(F.col("by_row"), F.col("usd"))).alias("row_total"),
-        F.max(F.when(~F.col("by_row"), F.col("usd"))).alias("day_total"),
-    ).select(
-        F.lit(name).alias("object"),
-        "row_total",
-        "day_total",
-        gap.alias("difference"),
-        F.when(gap == 0, "PASS").otherwise("FAIL").alias("status"),
-    )

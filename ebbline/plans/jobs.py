@@ -8,7 +8,7 @@ from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbline.operators.history import latest_lcr, latest_run_per_scenario
+from ebbline.operators.history import trend
 from ebbline.operators.netting import lcr, net_cashflow
 from ebbline.operators.projection import (
     BASELINE_DECAY,
@@ -19,7 +19,8 @@ from ebbline.operators.projection import (
     hqla_detail,
 )
 from ebbline.operators.scenario import STRESSED_FACTS, apply_scenario
-from ebbline.sources.tables import append_run, read_table
+from ebbline.sources.runs import append_run, latest
+from ebbline.sources.tables import read_table
 
 
 @dataclass(frozen=True)
@@ -122,6 +123,11 @@ def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
+def _run_id(created: dt.datetime | None, as_of: dt.datetime, *terms: object) -> str:
+    """A run is named by when it was made, or else by what it values, so that a retry has its id."""
+    return created.isoformat() if created else "/".join(map(str, (as_of.isoformat(), *terms)))
+
+
 def forecast_job(
     spark: SparkSession,
     sources: Mapping[str, str],
@@ -134,12 +140,13 @@ def forecast_job(
 ) -> DataFrame:
     """Read the tables, append one baseline run to ``target``, return the latest trend.
 
-    ``created`` is the instant of the run in UTC, now if not given; several runs may value
-    the same ``as_of``.
+    ``created`` is the instant of the run in UTC, now if not given.  A run replaces the one
+    of its ``run_id``; without one, a run given ``created`` is named by it, and any other
+    by ``as_of``, horizon and decay, so that a retried job leaves one run.
     """
     result = run_forecast(Book.read(spark, sources), as_of, n_days, decay)
-    append_run(result, target, created or _now(), "lcr", run_id)
-    return latest_lcr(read_table(spark, target, "lcr"))
+    append_run(result, target, created or _now(), "lcr", run_id or _run_id(created, as_of, n_days, decay))
+    return trend(latest(spark, target))
 
 
 def what_if_job(
@@ -155,5 +162,5 @@ def what_if_job(
 ) -> DataFrame:
     """As :func:`forecast_job` for scenarios; returns the latest run of each."""
     result = run_what_if(Book.read(spark, sources), what_if_ids, as_of, n_days, decay)
-    append_run(result, target, created or _now(), "what_if_lcr", run_id)
-    return latest_run_per_scenario(read_table(spark, target, "what_if_lcr"))
+    append_run(result, target, created or _now(), "what_if_lcr", run_id or _run_id(created, as_of, n_days, decay))
+    return latest(spark, target, "what_if_lcr")

@@ -7,14 +7,11 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.functions.calendar import CASH_FLOW, maturity_bucket, survives
+from ebbline.functions.calendar import maturity_bucket
 from ebbline.functions.money import TOTAL
 from ebbline.operators.projection import hqla_detail
 from ebbline.plans.jobs import Book
 
-# A top-k of at most so many rows is broadcast.
-MAX_BROADCAST_ROWS = 100_000
-
 
 def hqla_by(book: Book, as_of: dt.datetime, key: str) -> DataFrame:
     """HQLA after haircut by a position or asset-class column (security type, level)."""
@@ -44,7 +41,7 @@ def _top(df: DataFrame, value: str, *ties: str, k: int | None) -> DataFrame:
 def largest_outflows(book: Book, k: int = 10) -> DataFrame:
     """Counterparties with the largest outflows, by total.
 
-    The top k are chosen before names are looked up, so k bounds the broadcast side.
+    The top k are chosen before names are looked up, so k bounds both broadcasts.
     """
     sums = book.cash_outflows.groupBy("counterparty_id").agg(
         F.sum("outflow_amount_usd").cast(TOTAL).alias("outflow_usd")
@@ -53,11 +50,11 @@ def largest_outflows(book: Book, k: int = 10) -> DataFrame:
     names = book.counterparty_data.select(
         "counterparty_id", "counterparty_name", "counterparty_type"
     )
-    if k <= MAX_BROADCAST_ROWS:
-        top = F.broadcast(top)
-    return names.join(top, "counterparty_id", "right").orderBy(
-        F.col("outflow_usd").desc(), "counterparty_id"
-    )
+    # A left join can only broadcast its right side, so the names are cut to the top's first.
+    named = names.join(F.broadcast(top.select("counterparty_id")), "counterparty_id", "left_semi")
+    return top.join(F.broadcast(named), "counterparty_id", "left").select(
+        "counterparty_id", "counterparty_name", "counterparty_type", "outflow_usd"
+    ).orderBy(F.col("outflow_usd").desc(), "counterparty_id")
 
 
 def net_outflow_by_unit(book: Book, k: int | None = None) -> DataFrame:
@@ -216,23 +213,3 @@ def scenario_rules(rules: DataFrame, what_if_id: str) -> DataFrame:
     return scenario_definitions(
         rules.filter(F.col("what_if_id").cast("string") == str(what_if_id))
     )
-
-
-def live_total(df: DataFrame, amount: str, as_of: dt.datetime, kind: str) -> DataFrame:
-    """Sum of the rows alive on day 1, one row with a column ``usd``."""
-    first_day_alive = F.col("maturity_date").isNull() | (
-        F.col("maturity_date") > F.lit(as_of.date())
-    )
-    if kind == CASH_FLOW:
-        first_day_alive = survives(F.col("maturity_date"), as_of, CASH_FLOW)
-    return df.filter(first_day_alive).agg(
-        F.coalesce(F.sum(F.col(amount).cast(TOTAL)), F.lit(0)).cast(TOTAL).alias("usd")
-    )
-
-
-def day_total(daily: DataFrame, amount: str, day: int = 1) -> DataFrame:
-    """One day of a daily series, one row with a column ``usd``."""
-    picked = F.when(F.col("day_number") == day, F.col(amount))
-    return daily.agg(F.coalesce(F.sum(picked), F.lit(0)).cast(TOTAL).alias("usd"))
-
-

@@ -106,6 +106,20 @@ SCHEMAS["what_if_lcr"] = T.StructType(
     [T.StructField("what_if_id", T.StringType()), *SCHEMAS["lcr"].fields]
 )
 
+# The manifests of run histories, and what keys a history's partitions.
+SCHEMAS["lcr_runs"] = T.StructType(
+    [
+        T.StructField("run_id", T.StringType()),
+        T.StructField("created_timestamp", T.TimestampNTZType()),
+        T.StructField("n_rows", T.LongType()),
+    ]
+)
+SCHEMAS["what_if_lcr_runs"] = T.StructType(
+    [T.StructField("what_if_id", T.StringType()), *SCHEMAS["lcr_runs"].fields]
+)
+RUN_KEYS = {"lcr": ("run_id",), "what_if_lcr": ("what_if_id", "run_id")}
+STORED_BY_RUN = {*RUN_KEYS, *(f"{table}_runs" for table in RUN_KEYS)}
+
 # Column defaults.  Timestamps default to the ``now`` of the caller.
 DEFAULT_TRUE = {"is_active"}
 DEFAULT_FALSE = {"is_major_currency"}

@@ -12,6 +12,7 @@ from decimal import ROUND_HALF_UP, Decimal
 AS_OF = "1998-06-01 12:00:00"
 MIDNIGHT = "1998-06-01 00:00:00"
 EARLIER = "1998-05-25 12:00:00"
+LATE = "1998-11-01 12:00:00"
 
 MODEL = """
 business_unit_reference AS (
@@ -213,14 +214,14 @@ HISTORY = f"""history AS (
 base AS (SELECT * FROM history
          WHERE created_timestamp IN (SELECT max(created_timestamp) FROM history))"""
 SCENARIO_HISTORY = f"""scenario_history AS (
-  SELECT TIMESTAMP '{EARLIER}' AS created_timestamp, * FROM ({what_if(EARLIER, ('1',))})
+  SELECT TIMESTAMP '{EARLIER}' AS created_timestamp, * FROM ({what_if(EARLIER, ('1', '3'))})
   UNION ALL SELECT TIMESTAMP '{AS_OF}', * FROM ({what_if(AS_OF, ('1', '2'))})),
 latest AS (SELECT h.* FROM scenario_history h
            JOIN (SELECT what_if_id, max(created_timestamp) AS m FROM scenario_history GROUP BY 1) n
              ON n.what_if_id = h.what_if_id AND n.m = h.created_timestamp)"""
 
 
-NOW = f"latest AS ({what_if(AS_OF, ('1', '2'))})"
+NOW = f"latest AS ({what_if(AS_OF, ('1', '2', '3'))})"
 
 
 def _wide_days(n: int, as_of: str) -> list[tuple[int, str]]:
@@ -390,7 +391,7 @@ _COLUMN_CHECKS = [
     ("what_if_definitions_lookup", "created_date", ""),
     ("hqla_summary", "", ""),
     ("lcr", "", "run_id"),
-    ("what_if_lcr", "", ""),
+    ("what_if_lcr", "", "run_id"),
 ]
 
 
@@ -405,11 +406,11 @@ def _report() -> str:
         "lcr": "history",
         "positions": "positions",
         "what_if_definitions_lookup": "rules",
-        "what_if_lcr": f"({what_if(AS_OF, ('1',))})",
+        "what_if_lcr": "scenario_history",
     }
     parts = [
-        f"SELECT 'table' AS \"check\", '{name}' AS object, 'PASS' AS status,"
-        f" CAST(COUNT(*) AS DOUBLE) AS metric, 'has rows' AS detail FROM {source}"
+        f"SELECT 'table' AS \"check\", '{name}' AS object, CASE WHEN COUNT(*) > 0 THEN 'PASS' ELSE 'WARN' END AS status,"
+        f" CAST(COUNT(*) AS DOUBLE) AS metric, CASE WHEN COUNT(*) > 0 THEN 'has rows' ELSE 'empty' END AS detail FROM {source}"
         for name, source in counts.items()
     ]
     parts += [
@@ -434,6 +435,27 @@ def _report() -> str:
     return " UNION ALL ".join(parts)
 
 
+_KEYS = {
+    "asset_classifications": "security_type",
+    "business_unit_reference": "business_unit_id",
+    "cash_inflows": "inflow_id",
+    "cash_outflows": "outflow_id",
+    "counterparty_data": "counterparty_id",
+    "positions": "position_id",
+    "what_if_definitions_lookup": "what_if_id",
+}
+
+
+def _keys() -> str:
+    sources = {"what_if_definitions_lookup": "rules"}
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, '{key}' AS key_columns, COUNT(*) AS row_count, COUNT(DISTINCT {key}) AS distinct_keys,"
+        f" COUNT({key}) - COUNT(DISTINCT {key}) AS duplicate_rows, COUNT(*) - COUNT({key}) AS null_keys,"
+        f" CASE WHEN COUNT(*) = COUNT(DISTINCT {key}) THEN 'PASS' ELSE 'FAIL' END AS status FROM {sources.get(name, name)}"
+        for name, key in _KEYS.items()
+    )
+
+
 def statements() -> dict[str, str]:
     """SQL by query name."""
     series = f"SELECT {SERIES} FROM base"
@@ -479,6 +501,44 @@ def statements() -> dict[str, str]:
         "lcr_baseline": query(series, BASE),
         "lcr_baseline_midnight": query(series, f"base AS ({ratio(MIDNIGHT)})"),
         "lcr_baseline_with_units": query(series, BASE),
+        "cash_outflow_daily_by_counterparty": query(
+            f"SELECT counterparty_id, CAST(day_number AS INTEGER) AS day_number, {dbl('total_outflow')}"
+            f" FROM ({flow('outflow', AS_OF, by='counterparty_id')})"
+        ),
+        # Tables, stored and read
+        "sql_text": "SELECT o_orderpriority AS priority, COUNT(*) AS n_orders,"
+        " CAST(SUM(CAST(o_totalprice AS DECIMAL(20,2))) AS DOUBLE) AS price_usd FROM orders"
+        " WHERE o_orderstatus = 'F' AND o_totalprice >= 1000 GROUP BY 1",
+        "fetched_report": _both("business_unit_id", "business_unit_id"),
+        "flows_in_a_snapshot": query(
+            "SELECT inflow_type AS flow_type, COUNT(*) AS n_flows, CAST(SUM(inflow_amount_usd) AS DOUBLE) AS amount_usd"
+            " FROM cash_inflows GROUP BY 1"
+        ),
+        "late_outflows_of_a_clustered_table": query(
+            f"SELECT CAST(day_number AS INTEGER) AS day_number, {dbl('total_outflow')} FROM ({flow('outflow', LATE)})"
+        ),
+        "stressed_outflows_of_a_bucketed_table": query(
+            "SELECT what_if_id, COUNT(*) AS n_flows, CAST(SUM(outflow_amount_usd) AS DOUBLE) AS outflow_usd"
+            f" FROM ({stressed('cash_outflows', ('1', '2', '3'))}) GROUP BY 1"
+        ),
+        "units_and_counterparties": query(
+            "SELECT business_unit_id, counterparty_id FROM cash_inflows"
+            " UNION SELECT business_unit_id, counterparty_id FROM cash_outflows"
+        ),
+        "positions_beside_their_day": query(
+            "SELECT p.position_id, CAST(p.position_date AS VARCHAR) AS position_date, CAST(p.position_value_usd AS DOUBLE) AS position_value_usd,"
+            " CAST(t.usd AS DOUBLE) AS day_usd FROM positions p JOIN (SELECT security_id, position_date, SUM(position_value_usd) AS usd"
+            " FROM positions GROUP BY 1, 2) t ON p.security_id = t.security_id AND p.position_date = t.position_date"
+        ),
+        "security_price_days": "SELECT 'SEC_' || lpad(CAST(p_partkey AS VARCHAR), 8, '0') AS security_id,"
+        f" CAST(DATE '{AS_OF[:10]}' - CAST(back AS INTEGER) AS VARCHAR) AS market_date,"
+        " CAST(CAST(CAST(p_retailprice AS DECIMAL(20,4)) * (1000 - back) * 0.001 AS DECIMAL(20,4)) AS DOUBLE) AS price_usd"
+        " FROM part CROSS JOIN (SELECT CAST(unnest(range(0, 30)) AS DECIMAL(4,0)) AS back) d",
+        "inflow_notices": query(
+            "SELECT 'CP_' || lpad(counterparty_id, 6, '0') AS counterparty, 'IN_' || lpad(inflow_id, 10, '0') AS inflow,"
+            " CAST(maturity_date - 30 AS VARCHAR) AS notice_date, CAST(maturity_date + 2 AS VARCHAR) AS settled_by"
+            " FROM cash_inflows WHERE maturity_date IS NOT NULL"
+        ),
         # Scenarios
         **{
             f"factors_{kind}": query(
@@ -492,6 +552,12 @@ def statements() -> dict[str, str]:
         "lcr_what_if": query(f"SELECT what_if_id, {SERIES} FROM ({what_if(AS_OF, ('1',))})"),
         "lcr_what_if_all": query(f"SELECT what_if_id, {SERIES} FROM ({what_if(AS_OF, ('1', '2', '3'))})"),
         # History
+        "appended_runs": query(
+            "SELECT CASE WHEN created_timestamp = (SELECT max(created_timestamp) FROM history) THEN 'second' ELSE 'first' END AS run_id,"
+            " COUNT(*) AS n_days, CAST(MIN(lcr) AS DOUBLE) AS least_lcr, CAST(MAX(lcr) AS DOUBLE) AS most_lcr, COUNT(*) AS n_rows"
+            " FROM history GROUP BY 1",
+            HISTORY,
+        ),
         "latest_lcr": query(series, HISTORY),
         "latest_what_if_lcr": query(f"SELECT what_if_id, {SERIES} FROM latest WHERE what_if_id = '1'", SCENARIO_HISTORY),
         "lcr_change_analysis": query(_CHANGES.format(keys="", table="base", partition=""), HISTORY),
@@ -605,13 +671,21 @@ def statements() -> dict[str, str]:
             "SELECT position_id, security_type, CAST(position_value_usd AS DOUBLE) AS position_value_usd"
             " FROM positions WHERE security_type NOT IN (SELECT security_type FROM asset_classifications)"
         ),
+        "duplicate_keys": query(_keys()),
+        "semantic_flows_and_positions_by_region": query(
+            "SELECT region, i.usd AS inflow_amount_usd, o.usd AS outflow_amount_usd, p.usd AS position_value_usd FROM ("
+            " SELECT c.region, CAST(SUM(inflow_amount_usd) AS DOUBLE) AS usd FROM cash_inflows LEFT JOIN counterparty_data c USING (counterparty_id) GROUP BY 1) i"
+            " FULL JOIN (SELECT c.region, CAST(SUM(outflow_amount_usd) AS DOUBLE) AS usd FROM cash_outflows LEFT JOIN counterparty_data c USING (counterparty_id) GROUP BY 1) o USING (region)"
+            " FULL JOIN (SELECT b.region, CAST(SUM(position_value_usd) AS DOUBLE) AS usd FROM positions LEFT JOIN business_unit_reference b USING (business_unit_id) GROUP BY 1) p USING (region)"
+        ),
         "missing_fields": query(_nulls()),
         "reconciliation": _reconcile(),
-        "quality_report": query(_report(), HISTORY),
+        "quality_report": query(_report(), HISTORY, SCENARIO_HISTORY),
         "quality_summary": query(
             "SELECT \"check\", COUNT(*) FILTER (status = 'PASS') AS passed, COUNT(*) AS total,"
             " CASE WHEN COUNT(*) FILTER (status = 'PASS') = COUNT(*) THEN 'PASS' ELSE 'FAIL' END AS result"
             f" FROM ({_report()}) GROUP BY 1",
             HISTORY,
+            SCENARIO_HISTORY,
         ),
     }

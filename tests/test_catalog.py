@@ -90,7 +90,7 @@ def test_rows_are_aggregated_before_any_shuffle(stored):
         assert all("partial_sum" in lines[i + 1] for i in shuffles)
 
 
-@pytest.mark.parametrize("name", ["lcr_what_if", "baseline_versus_scenarios", "headline"])
+@pytest.mark.parametrize("name", ["lcr_what_if", "baseline_versus_scenarios", "relationship_orphans"])
 def test_queries_start_no_job_while_they_are_built(spark, name):
     catalog()["hqla_detail"](spark, SF_DIR).count()
     context = spark.sparkContext
@@ -103,6 +103,25 @@ def test_queries_start_no_job_while_they_are_built(spark, name):
     assert len(jobs) <= 10  # one per file schema, no counts
 
 
+def test_a_stored_history_is_made_once(spark):
+    """Later queries of a history read its latest run, and nothing of the facts."""
+    catalog()["headline"](spark, SF_DIR)
+    for name in ("headline", "latest_lcr", "days_below_floor"):
+        text = plan(catalog()[name](spark, SF_DIR))
+        assert "lineitem" not in text and "Join" not in text and len(re.findall("FileScan", text)) == 2, name
+    text = plan(catalog()["what_if_change_analysis"](spark, SF_DIR))
+    assert "lineitem" not in text and "Join" not in text and len(re.findall("FileScan", text)) == 2
+
+
+def test_the_largest_outflows_are_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(catalog()["largest_outflows_by_counterparty"](spark, SF_DIR))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin [counterparty_id" in text and "LeftSemi" in text and "LeftOuter, BuildRight" in text
+
+
 def test_line_items_are_dealt_only_if_the_session_asks(spark):
     def shuffled(n):
         return f"hashpartitioning(l_extendedprice#0, l_shipdate#0, {n})" in re.sub(r"#\d+", "#0", plan(StarSchema(spark, SF_DIR).raw("lineitem")))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
@@ -8,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ebbline.operators import history as hist
 from ebbline.sources.schemas import SCHEMAS
-from ebbline.sources.tables import append_run, read_table
+from ebbline.sources.runs import append_run, history, latest, runs
+from ebbline.sources.tables import read_table
 
 OLD, NEW = dt.datetime(2024, 1, 1, 9), dt.datetime(2024, 1, 2, 9)
 
@@ -63,11 +65,75 @@ def test_runs_of_one_instant_are_told_apart(spark, tmp_path):
     assert [r.hqla_change for r in hist.lcr_change_analysis(history).collect()] == [None, 5]
 
 
-def test_a_run_id_is_used_once(spark, tmp_path):
+def test_a_retried_run_takes_the_place_of_itself(spark, tmp_path):
     path = str(tmp_path / "lcr")
-    append_run(series(spark, [(1, 10, 20)]), path, NEW, run_id="a")
-    with pytest.raises(ValueError, match="already"):
-        append_run(series(spark, [(1, 10, 20)]), path, NEW, run_id="a")
+    append_run(series(spark, [(1, 10, 20), (2, 10, 20)]), path, OLD, run_id="007")
+    append_run(series(spark, [(1, 10, 30)]), path, NEW, run_id="8")
+    append_run(series(spark, [(1, 10, 25)]), path, OLD, run_id="007")
+    rows = sorted((r.run_id, float(r.hqla)) for r in read_table(spark, path, "lcr").collect())
+    assert rows == [("007", 25), ("8", 30)]
+    assert sorted((r.run_id, r.n_rows) for r in runs(spark, path).collect()) == [("007", 1), ("8", 1)]
+    append_run(series(spark, [(1, 10, 26)]), path, NEW)
+    append_run(series(spark, [(1, 10, 27)]), path, NEW)  # without an id its instant names a run
+    assert read_table(spark, path, "lcr").count() == 3
+
+
+def test_a_run_that_is_not_in_the_manifest_is_not_seen(spark, tmp_path):
+    path = str(tmp_path / "lcr")
+    append_run(series(spark, [(1, 10, 20)]), path, OLD, run_id="a")
+    late = read_table(spark, path, "lcr").withColumn("run_id", F.lit("b")).withColumn("created_timestamp", F.lit(NEW).cast("timestamp_ntz"))
+    late.write.mode("append").partitionBy("run_id").parquet(path)  # the writer is lost before it enters the run
+    assert read_table(spark, path, "lcr").count() == 2
+    assert [r.run_id for r in latest(spark, path).collect()] == ["a"]
+    assert [r.run_id for r in history(spark, path).collect()] == ["a"]
+
+
+def plan(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_latest_runs_are_read_from_their_partitions_only(spark, tmp_path):
+    path, other = str(tmp_path / "lcr"), str(tmp_path / "what_if")
+    for day in range(1, 6):
+        created = dt.datetime(2024, 1, day)
+        append_run(series(spark, [(1, 10, day), (2, 10, day)]), path, created, run_id=f"run {day}")
+        for wid in ("1", "2")[: 1 + day % 2]:
+            append_run(series(spark, [(1, 10, day)], what_if_id=wid), other, created, "what_if_lcr")
+    one = latest(spark, path)
+    each = latest(spark, other, "what_if_lcr")
+    assert [float(r.hqla) for r in one.collect()] == [5, 5]
+    assert sorted((r.what_if_id, float(r.hqla)) for r in each.collect()) == [("1", 5), ("2", 5)]
+    assert [float(r.hqla) for r in latest(spark, other, "what_if_lcr", "2").collect()] == [5]
+    for df, files in ((one, 1), (each, 2)):
+        text = plan(df).split("== Initial Plan ==")[0]
+        assert "Join" not in text and text.count("FileScan") == 2  # the history and, in the subquery, its manifest
+        assert re.search(r"PartitionFilters: \[[^]]*Subquery", text)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # metrics are those of the plan then
+    try:
+        assert read_files(latest(spark, path)) == 1 and read_files(latest(spark, other, "what_if_lcr")) == 2
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def read_files(df) -> int:
+    """Files that the scan of the history read, by its metrics."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    scans = [leaves.apply(i) for i in range(leaves.size())]
+    (read,) = [scan.metrics().apply("numFiles").value() for scan in scans if "total_net_cash_outflows" in scan.toString()]
+    return read
+
+
+def test_a_history_in_the_catalog(spark):
+    name = "lcr_in_the_catalog"
+    for table in (name, f"{name}_runs"):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    append_run(series(spark, [(1, 10, 20)]), name, OLD, run_id="a")
+    append_run(series(spark, [(1, 10, 30), (2, 10, 31)]), name, NEW, run_id="b")
+    append_run(series(spark, [(1, 10, 21)]), name, OLD, run_id="a")
+    assert sorted((r.run_id, float(r.hqla)) for r in read_table(spark, name, "lcr").collect()) == [("a", 21), ("b", 30), ("b", 31)]
+    assert [float(r.hqla) for r in latest(spark, name).orderBy("day_number").collect()] == [30, 31]
 
 
 def test_rows_without_run_id_are_one_run(spark, tmp_path):

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ebbline.operators import quality
-from ebbline.operators.semantic import MODEL, RELATIONSHIPS, VERIFIED_QUERIES, dimension, fact, semantic_query
+from ebbline.operators.semantic import MODEL, RELATIONSHIPS, VERIFIED_QUERIES, dimension, drill_across, fact, semantic_query
 from ebbline.plans import questions as ask
 from ebbline.plans.jobs import Book
 from ebbline.sources.schemas import SCHEMAS
@@ -164,6 +164,44 @@ def test_verified_queries_warn_on_empty_history(spark):
     assert {r.status for r in quality.check_verified_queries(empty).collect()} == {"WARN"}
 
 
+def test_duplicate_and_null_keys(spark, tables):
+    flows = fx.flows(spark, "inflow", [("A", "U", "C", "1.00", None)] * 3 + [("B", "U", "C", "1.00", None), (None, "U", "C", "1.00", None), (None, "V", "C", "1.00", None)])
+    given = {"cash_inflows": flows, "positions": tables["positions"], "cash_outflows": tables["cash_outflows"].limit(0)}
+    have = {r.table_name: tuple(r)[1:] for r in quality.duplicate_keys(given).collect()}
+    assert have == {
+        "cash_inflows": ("inflow_id", 6, 2, 2, 2, "FAIL"),
+        "positions": ("position_id", 4, 4, 0, 0, "PASS"),
+        "cash_outflows": ("outflow_id", 0, 0, 0, 0, "PASS"),
+    }
+
+
+def test_each_table_is_read_once_for_all_its_checks(spark, tables, tmp_path):
+    for name, df in tables.items():
+        df.write.parquet(str(tmp_path / name))
+    stored = {name: spark.read.parquet(str(tmp_path / name)) for name in tables}
+    text = quality.orphans(stored)._jdf.queryExecution().executedPlan().toString()
+    for fact_table in ("cash_outflows", "cash_inflows", "positions"):
+        assert len([x for x in text.splitlines() if "FileScan" in x and x.count(f"/{fact_table}]")]) == 1
+
+
+def test_drill_across_keeps_facts_apart(spark, tables):
+    found = drill_across(
+        tables,
+        ["cash_inflows.inflow_amount_usd", "cash_outflows.outflow_amount_usd", "positions.position_value_usd", "positions.quantity"][:3],
+        {"region": ("counterparty_data.region", "business_unit_reference.region")},
+    )
+    assert found.columns == ["region", "inflow_amount_usd", "outflow_amount_usd", "position_value_usd"]
+    assert rows(found, *found.columns) == sorted(
+        [("Europe", 5, None, 50), ("Asia", None, 24, 20), (None, 2, 32, 30)], key=str
+    )
+    whole = drill_across(tables, ["cash_inflows.inflow_amount_usd", "positions.position_value_usd"], {})
+    assert rows(whole, *whole.columns) == [(7, 100)]
+    with pytest.raises(KeyError, match="none of"):
+        drill_across(tables, ["positions.position_value_usd"], {"kind": ("counterparty_data.counterparty_type",)})
+    with pytest.raises(ValueError, match="differ"):
+        drill_across(tables, ["positions.quantity"], {"quantity": ("positions.position_type",)})
+
+
 def test_missing_fields(tables):
     counts = {(r.table_name, r.column_name): r.null_count for r in quality.missing_fields(tables).collect()}
     assert counts["cash_inflows", "counterparty_id"] == 1
@@ -171,13 +209,6 @@ def test_missing_fields(tables):
     assert sum(counts.values()) == 4  # and the open inflow
 
 
-def test_reconcile(spark):
-    one, two = (spark.createDataFrame([(Decimal(v),)], "usd decimal(38,2)") for v in ("5.00", "5.01"))
-    assert quality.reconcile(one, one, "x").first().status == "PASS"
-    row = quality.reconcile(one, two, "x").first()
-    assert (row.status, row.difference) == ("FAIL", Decimal("-0.01"))
-
-
 def test_flow_breakdowns(book):
     buckets = {(r.direction, r.maturity_bucket): r.amount_usd for r in ask.flows_by_bucket(book, fx.NOON).collect()}
     assert buckets == {

@@ -11,7 +11,8 @@ from ebbline.sources import sample
 from ebbline.sources.inline import inline_table
 from ebbline.sources.reference import reference_table
 from ebbline.sources.schemas import SCHEMAS, conform
-from ebbline.sources.tables import append_run, fetch, overwrite, read_table, run_sql, snapshot
+from ebbline.sources.runs import append_run
+from ebbline.sources.tables import fetch, overwrite, read_snapshot, read_table, run_sql, snapshot
 
 TODAY = dt.date(2024, 5, 1)
 NOW = dt.datetime(2024, 5, 1, 8)
@@ -202,3 +203,86 @@ def test_forecast_on_sample_data(spark):
     stressed = {r.day_number: r for r in run_what_if(book, "1", NOW, 30).collect()}
     assert stressed[1].hqla < base[1].hqla
     assert stressed[1].total_net_cash_outflows < base[1].total_net_cash_outflows
+
+
+def files_below(path) -> set:
+    return {str(f.relative_to(path)) for f in path.rglob("*.parquet")}
+
+
+def test_a_snapshot_outlives_growth_and_copies_nothing(spark, tmp_path):
+    path, target = tmp_path / "flows", tmp_path / "snapshot"
+    rows = spark.range(100).select("id", (F.col("id") % 3).cast("string").alias("part"))
+    overwrite(rows, str(path), partition_by=("part",))
+    held = snapshot(spark, str(path), str(target))
+    assert held.count() == 100 and dict(held.dtypes) == {"id": "bigint", "part": "int"}
+    before = files_below(path)
+    spark.range(100, 150).select("id", F.lit("7").alias("part")).write.mode("append").partitionBy("part").parquet(str(path))
+    assert read_table(spark, str(path)).count() == 150 and before < files_below(path)
+    again = read_snapshot(spark, str(target))
+    assert sorted(map(tuple, again.collect())) == [(i, i % 3) for i in range(100)]
+    assert len(files_below(target)) == 1 and sum(f.stat().st_size for f in target.rglob("*.parquet")) < 10_000
+    rows.limit(5).write.mode("overwrite").partitionBy("part").parquet(str(path))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|changed"):
+        read_snapshot(spark, str(target)).count()
+
+
+def test_snapshots_of_catalog_and_empty_tables_and_of_views(spark, tmp_path):
+    name = f"snap_{uuid.uuid4().hex}"
+    overwrite(spark.range(10), name)
+    held = snapshot(spark, name, str(tmp_path / "one"))
+    spark.range(10, 20).write.insertInto(name)
+    assert spark.table(name).count() == 20 and held.count() == 10 == read_snapshot(spark, str(tmp_path / "one")).count()
+    empty = f"snap_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {empty} (id BIGINT) USING parquet")
+    assert snapshot(spark, empty, str(tmp_path / "two")).schema.simpleString() == "struct<id:bigint>"
+    spark.range(3).createOrReplaceTempView("no_files")
+    with pytest.raises(ValueError, match="no files"):
+        snapshot(spark, "no_files", str(tmp_path / "three"))
+
+
+def test_bucketed_facts_are_joined_without_a_shuffle_of_theirs(spark, tmp_path):
+    name = f"flows_{uuid.uuid4().hex}"
+    flows = spark.range(3000).select(F.col("id").cast("string").alias("flow"), (F.col("id") % 40).cast("string").alias("counterparty_id"))
+    overwrite(flows, name, buckets=6, bucket_by=("counterparty_id",), location=str(tmp_path / name))
+    factors = spark.range(40).select(F.col("id").cast("string").alias("counterparty_id"), (F.col("id") * 2).alias("factor"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = spark.table(name).join(factors, "counterparty_id", "left")
+        lines = joined._jdf.queryExecution().executedPlan().toString().splitlines()
+        scan = next(i for i, line in enumerate(lines) if "FileScan" in line)
+        fact_side = lines[:scan]
+        assert sum("Exchange" in line for line in lines) == 1 and not any("Exchange" in line for line in fact_side)
+        assert joined.where("factor = 2 * CAST(counterparty_id AS INT)").count() == 3000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    with pytest.raises(ValueError, match="table name"):
+        overwrite(flows, str(tmp_path / "x"), buckets=2, bucket_by=("flow",))
+
+
+def test_a_late_forecast_skips_row_groups_of_a_clustered_table(spark, tmp_path):
+    from ebbline.operators.projection import cashflow_daily
+
+    start = dt.date(2024, 1, 1)
+    flows = spark.range(40_000).select(
+        F.when(F.col("id") % 50 != 0, F.date_add(F.lit(start), ((F.col("id") * 7919) % 700).cast("int"))).alias("maturity_date"),
+        (F.col("id") % 1000).cast("decimal(20,2)").alias("outflow_amount_usd"),
+    ).repartition(8)
+    overwrite(flows, str(tmp_path / "plain"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small as it is, it gets 8 files
+    overwrite(flows, str(tmp_path / "clustered"), cluster_by=("maturity_date",))
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    late = dt.datetime(2025, 9, 1, 12)
+    found, read = {}, {}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for name in ("plain", "clustered"):
+            daily = cashflow_daily(read_table(spark, str(tmp_path / name)), "outflow", late)
+            found[name] = sorted(map(tuple, daily.collect()))
+            leaf = daily._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+            read[name] = leaf.metrics().apply("numOutputRows").value()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert found["plain"] == found["clustered"] and read["plain"] == 40_000
+    assert read["clustered"] <= 20_000
