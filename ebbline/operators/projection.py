@@ -14,6 +14,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,6 +37,9 @@ SCENARIO_DECAY = 0.99
 # which cannot overflow below two billion rows per task.
 _LOW_BITS = 32
 
+# Days of a wide table that one aggregate adds up.
+_BLOCK = 50
+
 
 def hqla_detail(
     positions: DataFrame,
@@ -220,13 +224,18 @@ def wide_summary(
 ) -> DataFrame:
     """Daily totals of a wide table, (day_number, <total>).
 
-    The columns are added up first and the one-row result is unpivoted, so the rows
-    are never multiplied by the number of days.
+    The columns are added up first and the sums are unpivoted, so the rows are never
+    multiplied by the number of days.  Columns are added up in blocks, since Spark compiles
+    an aggregate of at most 100 columns; a block reads and computes its own days only.
     """
-    columns = [f"day_{day}_{day_suffix}" for day in range(1, n_days + 1)]
-    sums = projection.agg(*[F.expr(f"CAST(SUM({c}) AS DECIMAL(38,2)) AS {c}") for c in columns])
+    blocks = [range(first, min(first + _BLOCK, n_days + 1)) for first in range(1, n_days + 1, _BLOCK)]
+    parts = []
+    for block in blocks:
+        columns = [f"day_{day}_{day_suffix}" for day in block]
+        sums = projection.agg(*[F.expr(f"CAST(SUM({c}) AS DECIMAL(38,2)) AS {c}") for c in columns])
+        parts.append(sums.unpivot([], columns, "day_raw", "amount"))
     return (
-        sums.unpivot([], columns, "day_raw", "amount")
+        reduce(DataFrame.unionByName, parts)
         .filter(F.col("amount").isNotNull())
         .select(
             F.regexp_extract("day_raw", r"(\d+)", 1).cast("int").alias("day_number"),
