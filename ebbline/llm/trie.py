@@ -69,6 +69,7 @@ def ranked(conversations: DataFrame) -> DataFrame:
     turns = conversations.where(F.col("conv_id").isNotNull()).select(
         F.col("conv_id").cast("long").alias("conv"), "turn", k1.alias("k1"), k2.alias("k2"), F.size(words_of(text)).cast("long").alias("words")
     )
+    turns = keep(turns, "trie-digests")  # cutting ranges reads its input twice, and texts are long
     order = ("conv", "turn", "k1", "k2")
     schema = f"conv long, turn {turns.schema['turn'].dataType.simpleString()}, k1 long, k2 long, words long, p int, r long"
     placed = keep(turns.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_numbered, schema).drop("turn"), "trie-turns")
