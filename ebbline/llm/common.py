@@ -2,30 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ebbline.sources.tables import working_folder
+
 #: White space between words, as in the pattern ``[^\x20\x09-\x0D]+``.
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder for intermediate tables, from spark.checkpoint.dir.
-
-    On a local master a temporary folder stands in where the setting is missing.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        folder = spark.sparkContext.getCheckpointDir()
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="ebbline-shared-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder.rstrip("/")
+    """The folder that driver and executors share: spark.checkpoint.dir, or else the warehouse."""
+    return working_folder(spark)
 
 
 def keep(df: DataFrame, name: str) -> DataFrame:
@@ -43,6 +33,17 @@ def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> Dat
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def smallest_hashes(rows: DataFrame, hashed: Column, wanted: int, count: int) -> DataFrame:
+    """Those of `count` rows whose hash is below a threshold that leaves somewhat more than `wanted`.
+
+    An order with a limit keeps `wanted` rows in every task; after this filter few do.
+    """
+    if count <= 2 * wanted:
+        return rows
+    most = min(1.0, (wanted + 6 * wanted**0.5 + 36) / count)
+    return rows.where(hashed < F.lit(int(-(2**63) + most * 2**64)))
+
+
 def words_of(text: Column) -> Column:
     """The words ``[^\x20\x09-\x0D]+`` of a text as an array; null counts as empty."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))
