@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ebbline.llm.common import keep
+
 #: Most code points between complementary parts.
 SCOPE = 300
 
@@ -42,7 +44,9 @@ KINDS = (
 def _hits(docs: DataFrame, text: str) -> DataFrame:
     """A row for each hit (row, doc_id, kind, n, gap, hit), and one without for each text without.
 
-    gap is what stands between a hit and the one before it, as split() leaves it.
+    gap is what stands between a hit and the one before it, as split() leaves it.  The rows are
+    numbered and written before any shuffle goes by their numbers: a task that is run again
+    reads the numbers it read before.
     """
     base = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce(F.col(text), F.lit("")).alias("t"))
     found = base.select("*", *[F.regexp_extract_all("t", F.lit(p), F.lit(0)).alias(k) for k, p, _ in KINDS])
@@ -57,7 +61,8 @@ def _hits(docs: DataFrame, text: str) -> DataFrame:
         return F.when(F.size(kind) > 0, rows).otherwise(nothing)
 
     rows = F.concat(*[listed(i, k, p) for i, (k, p, _) in enumerate(KINDS)])
-    return found.select("row", "doc_id", F.posexplode_outer(rows).alias("n", "h")).select("row", "doc_id", "n", "h.kind", "h.gap", "h.hit")
+    hits = found.select("row", "doc_id", F.posexplode_outer(rows).alias("n", "h")).select("row", "doc_id", "n", "h.kind", "h.gap", "h.hit")
+    return keep(hits, "secret-hits")
 
 
 def spans(docs: DataFrame, text: str = "text", scope: int = SCOPE) -> DataFrame:
