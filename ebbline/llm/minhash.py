@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbline.llm.common import words_of
+from ebbline.llm.common import keep, words_of
 
 WORDS = 5
 BINS = 256
@@ -97,10 +97,11 @@ def likeness(a: Column, b: Column) -> Column:
 def following(ids: DataFrame) -> DataFrame:
     """(doc_id, next_id): the largest smaller id, and for the smallest the largest of all.
 
-    Ids are dealt out by range, so only the ends of the ranges meet in one task.
+    Ids are dealt out by range and written with the number of their range, so that both
+    readers see the same ranges, and only the ends of the ranges meet in one task.
     """
     some = ids.select("doc_id").where("doc_id IS NOT NULL").distinct()
-    dealt = some.repartitionByRange("doc_id").withColumn("p", F.spark_partition_id())
+    dealt = keep(some.repartitionByRange("doc_id").withColumn("p", F.spark_partition_id()), "dealt-ids")
     inside = F.lag("doc_id").over(Window.partitionBy("p").orderBy("doc_id"))
     ends = dealt.groupBy("p").agg(F.max("doc_id").alias("top"))
     below = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
@@ -117,13 +118,15 @@ def edited(docs: DataFrame, text: str = "text") -> DataFrame:
     edited each; of next documents that share one, that of the smallest text is taken.  A
     row without doc_id has no next one, so its second half goes.
     """
-    base = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("t")).withColumn("n_chars", F.length("t").cast("long"))
+    every = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("t")).withColumn("n_chars", F.length("t").cast("long"))
+    base, nameless = every.where("doc_id IS NOT NULL"), every.where("doc_id IS NULL")
     half = F.floor(F.col("n_chars") / 2).cast("int")
     order = following(docs).select(F.col("doc_id").alias("asker"), F.col("next_id").alias("asked"))
     longest = base.groupBy("doc_id").agg(F.max(half).alias("need")).select(F.col("doc_id").alias("asker"), "need")
     asks = order.join(longest, order["asker"] == longest["asker"]).select(order["asker"], "asked", "need")
     # One shuffle of the texts serves both as documents and as those that follow: its key is
     # never null, so no join adds a filter to one side, and both sides use all its columns.
+    # Rows without doc_id, which may be many, don't take part in it.
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
     printed = with_fingerprint(base, F.col("t"), "fp").select(key.alias("key"), "doc_id", "t", "n_chars", "fp").repartition("key")
     begun = (
@@ -142,4 +145,11 @@ def edited(docs: DataFrame, text: str = "text") -> DataFrame:
         ).alias("edited"),
         F.coalesce("after.next_fp", F.array().cast("array<bigint>")).alias("next_fp"),
     )
-    return with_fingerprint(texts, F.col("edited"), "edited_fp")
+    alone = with_fingerprint(nameless, F.col("t"), "fp").select(
+        "doc_id",
+        "n_chars",
+        "fp",
+        F.substring("t", F.lit(1), (F.col("n_chars") - half).cast("int")).alias("edited"),
+        F.array().cast("array<bigint>").alias("next_fp"),
+    )
+    return with_fingerprint(texts, F.col("edited"), "edited_fp").unionByName(with_fingerprint(alone, F.col("edited"), "edited_fp"))
