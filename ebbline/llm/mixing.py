@@ -2,13 +2,12 @@
 
 Sizes are words.  Sources share the whole by weight, none above ``most`` times its size;
 what is above is shared again among the others.  A target becomes equal blocks of
-``block_words`` words.  With that divisor the blocks go to the sources by the highest
-quotients size / (2 n + 1), which is rounding target / block.  Inside a source the blocks
-go to its shards by the same quotients, and each shard gives whole passes over its
-documents and then the first blocks of their seeded order.
+``block_words`` words, which go to the sources by the highest quotients target / (2 n + 1).
+Inside a source its blocks go to its shards by the quotients of their sizes, and each shard
+gives whole passes over its documents and then the first blocks of their seeded order.
 
 Null texts have size 0; a null source is a source, ordered last.  An empty table gives an
-empty table.  Documents that repeat an id share its place in the order.
+empty table.  Documents that repeat an id are told apart by their texts.
 """
 
 from __future__ import annotations
@@ -24,9 +23,8 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
 BLOCK_WORDS = 32
-#: A shard has about so many words, but a source has at most so many shards.
+#: A shard has about so many words.
 SHARD_WORDS = 1 << 18
-MAX_SHARDS = 1 << 16
 SEED = 20240601
 
 
@@ -74,12 +72,22 @@ def apportion(sizes: np.ndarray, seats: int, caps: np.ndarray) -> np.ndarray:
     return got
 
 
+def _source_quotas(block: int, most: float):
+    def quotas(sources: pd.DataFrame) -> pd.DataFrame:
+        sources = sources.sort_values("number")
+        wanted = sources["target"].to_numpy()
+        caps = np.ceil(sources["source_size"].to_numpy() * most / block).astype(np.int64)
+        return sources.assign(blocks=apportion(wanted, int(np.floor(wanted.sum() / block + 0.5)), caps))
+
+    return quotas
+
+
 def _quotas(block: int, most: float):
     def quotas(shards: pd.DataFrame) -> pd.DataFrame:
         shards = shards.sort_values("shard")
         sizes = shards["shard_size"].to_numpy()
         caps = np.ceil(sizes * most / block).astype(np.int64)
-        blocks = apportion(sizes, int(np.floor(shards["target"].iloc[0] / block + 0.5)), caps)
+        blocks = apportion(sizes, int(shards["blocks"].iloc[0]), caps)
         return shards[["number", "shard", "shard_size"]].assign(words=blocks * block)
 
     return quotas
@@ -97,36 +105,43 @@ def mix(
     """The documents with size, source_size, target and taken.
 
     All columns but these names are kept.  taken is how many words the mix takes, repeats
-    counted: whole passes first, then the words of the document inside the chosen blocks.
+    counted: whole passes first, then the words of the document inside the chosen blocks,
+    which are the first ones of the shard's seeded order.  Shard and order go by doc_id and
+    text, so the order of the input plays no part even where ids repeat.
     """
     sized = docs.drop("size", "source_size", "target", "taken").withColumn("size", word_count(F.col(text)))
-    own = docs.select("source", word_count(F.col(text)).alias("size"))
-    sources = targets(own.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
+    mark = F.xxhash64(text)
+    measured = keep(docs.select("doc_id", "source", mark.alias("mark"), word_count(F.col(text)).alias("size")), "mix-sizes")
+    sources = targets(measured.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
+    # One row for each source, in the one task that weighs them against each other.
+    dealt = sources.groupBy(F.lit("all")).applyInPandas(_source_quotas(block_words, most), f"{sources.schema.simpleString()[7:-1]}, blocks long")
     sources = keep(
-        sources.withColumn("shards", F.least(F.greatest(F.ceil(F.col("source_size") / SHARD_WORDS), F.lit(1)), F.lit(MAX_SHARDS))),
-        "mix-sources",
-    ).select(F.col("source").alias("__source"), "source_size", "target", F.col("number").alias("__number"), F.col("shards").alias("__shards"))
-    order = F.xxhash64(F.lit(seed), F.col("doc_id"))
+        dealt.withColumn("shards", F.greatest(F.ceil(F.col("source_size") / SHARD_WORDS), F.lit(1))), "mix-sources"
+    ).select(
+        F.col("source").alias("__source"), "source_size", "target", F.col("number").alias("__number"), F.col("shards").alias("__shards"), F.col("blocks").alias("__blocks")
+    )
 
-    def placed(df: DataFrame) -> DataFrame:
-        return df.join(sources, F.col("source").eqNullSafe(F.col("__source"))).withColumn("__shard", F.pmod(order, F.col("__shards")))
+    def placed(df: DataFrame, mark: Column) -> DataFrame:
+        shard = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id"), mark), F.col("__shards"))
+        return df.join(sources, F.col("source").eqNullSafe(F.col("__source"))).withColumn("__shard", shard)
 
     shards = (
-        placed(docs.select("doc_id", "source", word_count(F.col(text)).alias("size")))
-        .groupBy(F.col("__number").alias("number"), F.col("__shard").alias("shard"), "target")
+        placed(measured, F.col("mark"))
+        .groupBy(F.col("__number").alias("number"), F.col("__shard").alias("shard"), F.col("__blocks").alias("blocks"))
         .agg(F.sum("size").alias("shard_size"))
     )
     quotas = keep(
         shards.groupBy("number").applyInPandas(_quotas(block_words, most), "number int, shard long, shard_size long, words long"), "mix-quotas"
     ).select(*[F.col(c).alias(f"__q_{c}") for c in ("number", "shard", "shard_size", "words")])
-    stream = Window.partitionBy("__number", "__shard").orderBy(F.xxhash64(F.lit(seed + 1), F.col("doc_id")), "doc_id", "size")
+    # Rows alike in all of these are alike in what is taken, whichever comes first.
+    stream = Window.partitionBy("__number", "__shard").orderBy(F.xxhash64(F.lit(seed + 1), F.col("doc_id"), mark), "doc_id", mark, "size")
     before = F.coalesce(F.sum("size").over(stream.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     passes = F.when(F.col("__q_shard_size") > 0, F.floor(F.col("__q_words") / F.col("__q_shard_size"))).otherwise(0)
     rest = F.col("__q_words") - F.col("__passes") * F.col("__q_shard_size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("__before")))
     taken = F.least(F.col("__passes") * F.col("size") + part, F.col("size") * F.lit(most)).cast("long")
     return (
-        placed(sized)
+        placed(sized, mark)
         .withColumn("__before", before)
         .join(quotas, (F.col("__number") == F.col("__q_number")) & (F.col("__shard") == F.col("__q_shard")))
         .withColumn("__passes", passes)
