@@ -21,15 +21,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.llm.common import keep, small_batches
+from ebbline.llm.common import keep, small_batches, smallest_hashes
 from ebbline.llm.components import components
 
 THRESHOLD = 0.9
 #: Vectors the index is fitted on at most.
 SAMPLE = 20_000
-#: Lists that a vector is looked for in, and lists at most.
+#: Lists that a vector is looked for in, and sampled vectors that a list is fitted on at least.
 PROBES = 16
-MAX_LISTS = 1024
+PER_LIST = 4
 SUBSPACES, CODES = 8, 256
 BLOCK = 2048
 _ROUNDS = 8
@@ -130,14 +130,12 @@ def _block(index: Index, threshold: float):
         x_n, q_n = coded["copies"].to_numpy(), asked["copies"].to_numpy()
         x_probes = np.stack(coded["probes"].to_numpy())
         home = np.array([p[0] for p in asked["probes"]])
-        _, codes, error = index.file(x) if index else (None, None, None)
+        codes = np.frombuffer(b"".join(coded["codes"]), dtype=np.uint8).reshape(len(x), -1)
+        error = coded["error"].to_numpy()
         at, to = [], []
         for s in range(0, len(q), 256):
             part = q[s : s + 256]
-            if index:
-                i, j = np.nonzero(index.distances(part, which, codes) <= (reach + error + 1e-4) ** 2)
-            else:
-                i, j = (g.ravel() for g in np.indices((len(part), len(x))))
+            i, j = np.nonzero(index.distances(part, which, codes) <= (reach + error + 1e-4) ** 2)
             for k in range(0, len(i), 1 << 16):
                 a, b = i[k : k + (1 << 16)], j[k : k + (1 << 16)]
                 ok = (np.einsum("nd,nd->n", part[a], x[b]) >= threshold) & (q_id[s + a] != x_id[b])
@@ -167,16 +165,20 @@ def _filing(index: Index):
     def filing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                probes, _, _ = index.file(unit(np.stack(batch["v"].to_numpy())))
-                yield batch.assign(probes=list(probes.astype(np.int32)))
+                probes, codes, error = index.file(unit(np.stack(batch["v"].to_numpy())))
+                yield batch.assign(probes=list(probes.astype(np.int32)), codes=[c.tobytes() for c in codes], error=error)
 
     return filing
 
 
 def _fit(reps: DataFrame, dimension: int, count: int, sample: int, probes: int, lists: int | None) -> Index:
-    """Index fitted on the vectors of smallest hash, at most `sample` of them."""
-    some = reps.where(F.size("v") == dimension).orderBy(F.xxhash64("rep"), "rep").limit(sample).select("v").toPandas()
-    n = lists or int(min(MAX_LISTS, max(1, np.sqrt(count))))
+    """Index fitted on the vectors of smallest hash, at most `sample` of them.
+
+    There are lists by the root of the number of vectors, as far as the sample can fit them.
+    """
+    few = smallest_hashes(reps.where(F.size("v") == dimension), F.xxhash64("rep"), sample, count)
+    some = few.orderBy(F.xxhash64("rep"), "rep").limit(sample).select("v").toPandas()
+    n = lists or int(min(max(1, np.sqrt(count)), max(1, len(some) / PER_LIST)))
     return Index(np.stack(some["v"].to_numpy()), n, probes)
 
 
@@ -202,7 +204,7 @@ def near_duplicates(
     for dimension, count in [(r["d"], r["count"]) for r in reps.groupBy(F.size("v").alias("d")).count().collect()]:
         index = _fit(reps, dimension, count, sample, probes, lists)
         own = reps.where(F.size("v") == dimension)
-        filed = keep(own.mapInPandas(_filing(index), own.schema.simpleString()[7:-1] + ",probes:array<int>"), "filed-vectors")
+        filed = keep(own.mapInPandas(_filing(index), own.schema.simpleString()[7:-1] + ",probes:array<int>,codes:binary,error:double"), "filed-vectors")
         sizes = filed.groupBy(F.col("probes")[0].alias("list")).count().collect()
         asking = filed.select(F.explode("probes").alias("list")).groupBy("list").count().collect()
         n = len(index.centres)
@@ -213,9 +215,10 @@ def near_duplicates(
         parts = [F.array(*[F.lit(int(b)) for b in row]) for row in blocks]
         number = [F.pmod(F.xxhash64(F.lit(k), "rep"), p[F.col("list")]).cast("int") for k, p in enumerate(parts)]
         upto = [F.explode(F.sequence(F.lit(0), p[F.col("list")] - 1)) for p in parts]
-        columns = ["list", "i", "j", "rep", "copies", "v", "probes", "coded"]
+        columns = ["list", "i", "j", "rep", "copies", "v", "probes", "codes", "error", "coded"]
         coded = filed.withColumn("list", F.col("probes")[0]).withColumn("i", number[0]).withColumn("j", upto[1]).withColumn("coded", F.lit(True))
         asked = filed.withColumn("list", F.explode("probes")).withColumn("j", number[1]).withColumn("i", upto[0]).withColumn("coded", F.lit(False))
+        asked = asked.withColumn("codes", F.lit(None).cast("binary")).withColumn("error", F.lit(None).cast("double"))
         rows = coded.select(columns).unionByName(asked.select(columns))
         links = rows.groupBy("list", "i", "j").applyInPandas(_block(index, threshold), "rep long, n long, to long")
         found = links if found is None else found.unionByName(links)
