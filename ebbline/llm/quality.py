@@ -61,7 +61,7 @@ def features(text: str | None) -> list[float]:
     return [
         np.log1p(n), size / n, len(set(words)) / n, same / n, kinds[0] / size, kinds[1] / size, kinds[2] / size,
         counts[_KIND == 2].max() / size, kinds[3] / n, kinds[4] / n, kinds[5] / n, kinds[6] / n,
-        min(max(map(len, words)), 200), counts[128:].sum() / size, dirty / n, max(odd),
+        max(map(len, words)), counts[128:].sum() / size, dirty / n, max(odd),
     ]
 
 
