@@ -95,6 +95,32 @@ def test_embedding_recall_with_few_probes(spark):
     assert n.sum() > 500 and found >= 0.9 * n.sum()
 
 
+def test_embedding_recall_with_many_lists(spark):
+    """1,100 lists; every list has fewer vectors than a query of 16 lists reaches."""
+    rng = np.random.default_rng(13)
+    base = rng.normal(size=(3000, 24))
+    near = base[:1500] + rng.normal(size=(1500, 24)) * 0.12 * rng.random((1500, 1)) * 3
+    x = np.concatenate([base, near]).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    found = {r.vec_id: r.n_links for r in embeddings.near_duplicates(df, lists=1100, sample=4500).collect()}
+    y = x.astype(np.float64)
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    links = (y @ y.T >= 0.9).sum(axis=1) - 1
+    assert all(found[i] <= links[i] for i in range(len(x)))
+    assert links.sum() > 1000 and sum(found.values()) >= 0.9 * links.sum()
+
+
+def test_smallest_hashes_bound_what_tasks_hand_on(spark):
+    from ebbline.llm.common import smallest_hashes
+
+    rows = spark.range(100_000)
+    few = smallest_hashes(rows, F.xxhash64("id"), 2000, 100_000)
+    assert 2000 <= few.count() <= 2700
+    first = rows.orderBy(F.xxhash64("id")).limit(2000)
+    assert first.join(few, "id", "left_anti").isEmpty()
+    assert smallest_hashes(rows, F.xxhash64("id"), 60_000, 100_000) is rows
+
+
 def test_embedding_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [1.0, None]), (8, []),

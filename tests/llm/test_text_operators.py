@@ -260,6 +260,32 @@ def test_mixing_targets_and_words(spark, docs):
     assert sorted(map(tuple, rows)) == sorted(map(tuple, again))
 
 
+def test_mixing_reruns_agree_whatever_the_order_of_rows(spark):
+    rng = np.random.default_rng(31)
+    rows = [(int(i) % 40 if i % 3 else None, "ab"[i % 2], " ".join(f"w{i}" for _ in range(5 + i % 2))) for i in rng.permutation(700)]
+    schema = "doc_id long, source string, text string"
+    found = []
+    for some, parts in ((rows, 1), (rows[::-1], 5)):
+        mixed = mixing.mix(spark.createDataFrame(some, schema).repartition(parts))
+        found.append(sorted(((r.doc_id or -1, r.source, r.text, r.taken) for r in mixed.collect())))
+    assert found[0] == found[1] and len(found[0]) == 700
+    assert len({t for *_, t in found[0]}) > 2
+
+
+def test_sources_get_blocks_by_highest_quotients(spark):
+    rows = [(i, s, "w " * 10) for i, s in enumerate("a" * 9 + "b" * 7 + "c" * 23 + "d")]
+    mixed = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, text string"), block_words=16).collect()
+    taken, target = {}, {}
+    for r in mixed:
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+        target[r.source] = r.target
+    names, seats, got = sorted(target), round(sum(target.values()) / 16), dict.fromkeys(target, 0)
+    for _ in range(seats):
+        best = max(names, key=lambda s: (target[s] / (2 * got[s] + 1), -names.index(s)))
+        got[best] += 1
+    assert all(min(16 * got[s], 2 * 10 * sum(r[1] == s for r in rows)) == taken[s] for s in names)
+
+
 def test_apportionment_is_sainte_lague():
     rng = np.random.default_rng(2)
     for _ in range(50):
@@ -306,6 +332,48 @@ def test_minhash_edits_and_likeness(spark, docs):
     assert len({rows[i].fingerprint for i in ids if texts[i] == texts[ids[0]]}) == 1
 
 
+def test_next_ids_do_not_hang_on_reused_exchanges(spark):
+    n = 300_000
+    ids = spark.range(n).select((F.col("id") * 3).alias("doc_id")).repartition(7)
+    ids = ids.unionByName(spark.createDataFrame([(None,), (0,), (3,)], "doc_id long"))
+    settings = {"spark.sql.exchange.reuse": "false", "spark.sql.adaptive.enabled": "false"}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+            found = minhash.following(ids)
+            wrong = found.where(F.col("next_id") != F.when(F.col("doc_id") > 0, F.col("doc_id") - 3).otherwise(3 * (n - 1)))
+            assert found.count() == n and wrong.count() == 0
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
+def test_minhash_equals_plain_python(spark, docs):
+    """Fingerprints and likeness to the next document, bin by bin."""
+    rows = minhash.edited(docs).collect()
+    by_id = {r.doc_id: r for r in rows}
+    order = sorted(by_id)
+    whole = (1 << minhash.BITS) - 1
+
+    def bins(fingerprint):
+        return [(x >> (minhash.BITS * k)) & whole for x in fingerprint for k in reversed(range(64 // minhash.BITS))]
+
+    texts = dict(tuple(r) for r in docs.select("doc_id", "text").collect())
+    near = []
+    for r in rows:
+        after = by_id[order[order.index(r.doc_id) - 1]]
+        assert list(r.next_fp) == list(after.fp)
+        half = r.n_chars // 2
+        assert r.edited == (texts[r.doc_id] or "")[: r.n_chars - half] + (texts[after.doc_id] or "")[:half]
+        if r.fp and r.edited_fp:
+            assert len(bins(r.fp)) == minhash.BINS
+            differ = sum(a != b for a, b in zip(bins(r.fp), bins(r.edited_fp), strict=True))
+            chance = 2.0**-minhash.BITS
+            near.append((r.doc_id, max(0.0, min(1.0, (1 - differ / minhash.BINS - chance) / (1 - chance)))))
+    shown = {r.doc_id: r.s for r in spark.createDataFrame(rows, minhash.edited(docs).schema).select("doc_id", minhash.likeness(F.col("fp"), F.col("edited_fp")).alias("s")).collect()}
+    assert len(near) > 100 and all(abs(shown[i] - s) < 1e-9 for i, s in near)
+
+
 def test_minhash_odd_rows(odd, nothing):
     rows = minhash.edited(odd).select("doc_id", "n_chars", "fp", "edited", minhash.likeness(F.col("fp"), F.col("fp")).alias("own")).collect()
     assert len(rows) == odd.count() and {r.own for r in rows} == {1.0}
