@@ -1,40 +1,44 @@
 """Toxicity by weak supervision.
 
-Voters are a lexicon and patterns (words, and words that begin alike) mined from labelled
-training rows.  A voter votes toxic or abstains.  The generative label model estimates
-from the votes on all documents how often each voter is right and which voters say the
-same thing, starting from its record on the labelled rows.  Its posteriors, not the
-labels, train the linear classifier that scores documents.
-
-Mining, starting values and the classifier use at most ``SAMPLE`` labelled rows, those of
-smallest hash; votes and their statistics cover all documents.  Documents are read once
-for their votes, which are kept as a small table.
+Voters are a lexicon and stems (words, and beginnings of words) mined from labelled training
+rows: every term that tells toxic rows from clean ones more surely than chance would among
+as many terms, one voter for terms that begin alike.  A voter votes toxic or abstains.
+
+The generative label model starts from the voters' records on the labelled rows and then
+estimates by expectation and maximisation over all documents how often each voter fires on
+toxic and on clean ones, so from how voters agree.  Voters that fire together more often
+than toxicity explains share a weight.  Its posteriors, not the labels, train the linear
+classifier that scores documents.
+
+Mining and starting values use at most ``SAMPLE`` labelled rows and the classifier as many
+documents more, those of smallest hash; votes and their statistics cover all documents.
+Documents are read once for their votes, which are kept as a small table.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ebbline.llm.common import keep, small_batches
+from ebbline.llm.common import keep, small_batches, smallest_hashes
 
 #: Words of open insult that vote whatever the labels say.
 LEXICON = ("idiot", "moron", "stupid", "loser", "trash", "scum", "pathetic", "worthless", "disgusting", "clown", "dumbass", "retard")
 SAMPLE = 20_000
-#: Rows of each label that candidates are mined from (about, by hash); candidates and mined
-#: voters at most.
-MINED_ROWS = 2_500
-CANDIDATES = 4_000
-VOTERS = 64
-#: Voters that should speak for a toxic row before mining turns to others.
-REDUNDANT = 3
+#: Toxic rows that a term must stand in.
+SUPPORT = 3
+#: Toxic rows that a term stands in for each clean one, at least.
+PURITY = 8
+#: Passes in which the label model estimates its rates.
+PASSES = 6
 #: Lengths of the beginnings that are patterns.
 PREFIXES = range(4, 9)
 _WORD = re.compile(r"[^\W\d_]+")
@@ -53,137 +57,216 @@ class Voters:
         self.starts = {t[:-1]: i for i, t in enumerate(terms) if t.endswith("*")}
         self.lengths = sorted({len(t) for t in self.starts})
 
-    def votes(self, text: str | None) -> dict[int, int]:
-        """How often each voter's term is met."""
+    def votes(self, text: str | None) -> tuple[dict[int, int], int]:
+        """How often each voter's term is met, and how many different words there are."""
         out: dict[int, int] = {}
         words, starts, lengths = self.words, self.starts, self.lengths
-        for word, n in found_words(text).items():
+        found = found_words(text)
+        for word, n in found.items():
             if (i := words.get(word)) is not None:
                 out[i] = out.get(i, 0) + n
             for k in lengths:
                 if len(word) >= k and (i := starts.get(word[:k])) is not None:
                     out[i] = out.get(i, 0) + n
-        return out
+        return out, len(found)
 
 
 def voting(terms: list[str]):
-    """A column function from text to [(voter, times)], by voter."""
+    """A column function from text to its votes [(voter, times)] and different words.
 
-    @F.arrow_udf("array<struct<voter:int,times:int>>")
+    A text without a vote has that of silence, which comes after all terms.
+    """
+
+    @F.arrow_udf("struct<votes:array<struct<voter:int,times:int>>,words:int>")
     def vote(texts: pa.Array) -> pa.Array:
-        voters = Voters(terms)
-        rows = [[{"voter": i, "times": n} for i, n in sorted(voters.votes(t.as_py()).items())] for t in texts]
-        return pa.array(rows, type=pa.list_(pa.struct([("voter", pa.int32()), ("times", pa.int32())])))
+        voters, votes, words = Voters(terms), [], []
+        for t in texts:
+            met, n = voters.votes(t.as_py())
+            votes.append([{"voter": i, "times": k} for i, k in sorted((met or {len(terms): 1}).items())])
+            words.append(n)
+        kind = pa.list_(pa.struct([("voter", pa.int32()), ("times", pa.int32())]))
+        return pa.StructArray.from_arrays([pa.array(votes, type=kind), pa.array(words, type=pa.int32())], names=["votes", "words"])
 
     return vote
 
 
-@F.arrow_udf(T.ArrayType(T.StringType()))
+_MET = T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.StructField("before", T.LongType()), T.StructField("after", T.LongType())]))
+
+
+@F.arrow_udf(_MET)
 def _terms(texts: pa.Array) -> pa.Array:
+    """Words and beginnings of words of each text, and hashes of the words next to where each is met first."""
     out = []
     for text in texts:
-        words = found_words(text.as_py())
-        out.append(sorted({*words, *(w[:k] + "*" for w in words for k in PREFIXES if len(w) > k)}))
-    return pa.array(out, type=pa.list_(pa.string()))
+        words = ["", *_WORD.findall((text.as_py() or "").lower()), ""]
+        hashes = [xxhash.xxh64_intdigest(w) - 2**63 for w in words]
+        found: dict[str, int] = {}
+        for i, word in enumerate(words[1:-1], 1):
+            if word in found:
+                continue
+            found[word] = i
+            for k in PREFIXES:
+                if len(word) > k:
+                    found.setdefault(word[:k] + "*", i)
+        out.append([{"term": t, "before": hashes[i - 1], "after": hashes[i + 1]} for t, i in found.items()])
+    kind = pa.struct([("term", pa.string()), ("before", pa.int64()), ("after", pa.int64())])
+    return pa.array(out, type=pa.list_(kind))
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, training: Column, sample: int) -> DataFrame:
-    """(doc_id, text, y) of at most `sample` training rows of smallest hash, over both tables."""
-    rows = labels.where(F.col(label).isin(0, 1) & training).select("doc_id", F.col(label).cast("int").alias("y"))
-    some = rows.orderBy(F.xxhash64(F.lit(5), F.col("doc_id")), "doc_id", "y").limit(sample)
-    return docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")
+    """(doc_id, text, y) of the training rows among the `sample` rows of smallest hash.
+
+    Of rows of ``labels`` that share a doc_id one counts, of the smallest label, and of
+    documents that share one that of the smallest text, so that `sample` bounds the rows.
+    """
+    rows = labels.where(F.col(label).isin(0, 1) & training).groupBy("doc_id").agg(F.min(F.col(label).cast("int")).alias("y"))
+    hashed = F.xxhash64(F.lit(5), F.col("doc_id"))
+    few = smallest_hashes(rows, hashed, sample, rows.count())
+    some = few.orderBy(hashed, "doc_id").limit(sample)
+    met = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")  # at most `sample` rows
+    return met.groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.min("y").alias("y"))
 
 
 def mine(rows: DataFrame) -> list[str]:
-    """Terms of the toxic rows that are rare in the others, as a lexicon with redundancy."""
-    counts = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
-    share = F.element_at(F.array(*[F.lit(MINED_ROWS / max(counts.get(y, 1), 1)) for y in (0, 1)]), F.col("y") + 1)
-    some = rows.where(F.pmod(F.xxhash64(F.lit(6), F.col("doc_id")), F.lit(1 << 20)) < share * (1 << 20))
-    counted = (
-        some.select("y", F.explode(_terms("text")).alias("term"))
-        .groupBy("term")
-        .agg(F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("clean"))
-        .where("toxic >= 3 AND toxic >= 3 * clean")
-        .orderBy(F.col("toxic").desc(), "term")
-        .limit(CANDIDATES)
-    )
-    candidates = [r["term"] for r in counted.collect()]
-    if not candidates:
+    """Terms that tell the toxic rows (y, text) from the others, of those that begin alike the surest.
+
+    A term's evidence is the likelihood of its toxic and clean rows under its own share over
+    that under the share of all rows.  Rows where a term stands after the same word count
+    once, and so do those where it stands before the same one, or else every word of a text
+    that is copied often would tell.  Among n terms chance gives some one log(n) of evidence,
+    so that much and 1 more is asked for.  Every term that has it is taken; each stands in
+    SUPPORT or more toxic rows of the bounded sample.
+    """
+    by_label = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
+    if len(by_label) < 2:
         return []
-    hits = rows.select("y", F.transform(voting(candidates)("text"), lambda v: v["voter"]).alias("h")).where(F.size("h") > 0).toPandas()
-    clean = np.bincount(np.concatenate([*hits["h"][hits["y"] == 0], np.zeros(0, int)]).astype(int), minlength=len(candidates))
-    mine_of = [np.asarray(h, dtype=int) for h in hits["h"][hits["y"] == 1]]
-    row = np.repeat(np.arange(len(mine_of)), [len(h) for h in mine_of])
-    term = np.concatenate([*mine_of, np.zeros(0, int)]).astype(int)
-    needs, chosen = np.full(len(mine_of), REDUNDANT), []
-    while len(chosen) < VOTERS:
-        gain = np.bincount(term, weights=needs[row] > 0, minlength=len(candidates)) - 4 * clean
-        gain[chosen] = -np.inf
-        best = int(np.lexsort((np.arange(len(candidates)), -gain))[0])
-        if gain[best] < 3:
-            break
-        chosen.append(best)
-        needs[row[term == best]] -= 1
-    return [candidates[i] for i in chosen]
+    share = by_label[1] / (by_label[0] + by_label[1])
+    n, toxic, clean = F.col("toxic") + F.col("clean"), F.col("toxic"), F.col("clean")
+    evidence = toxic * F.log(toxic / n / share) + F.when(clean > 0, clean * F.log(clean / n / (1 - share))).otherwise(0.0)
+    met = rows.select("y", F.explode(_terms("text")).alias("t"))
+    met = met.select("y", "t.term", F.posexplode(F.array("t.before", "t.after")).alias("side", "beside")).distinct()
+    fewest = lambda y: F.least(*[F.count_if((F.col("y") == y) & (F.col("side") == k)) for k in (0, 1)])
+    counted = met.groupBy("term").agg(fewest(1).alias("toxic"), fewest(0).alias("clean"))
+    counted = keep(counted.where(n >= SUPPORT).withColumn("evidence", evidence), "toxic-terms")
+    least = math.log(max(1, counted.count())) + 1
+    sure = counted.where((toxic >= SUPPORT) & (toxic >= PURITY * clean) & (F.col("evidence") >= least)).select("term", "evidence")
+    chosen, begun = [], set()
+    for term, _ in sorted(((r["term"], r["evidence"]) for r in sure.collect()), key=lambda t: (-t[1], len(t[0]), t[0])):
+        stem = term.removesuffix("*")
+        if stem in begun or any(stem[:k] + "*" in begun for k in range(1, len(stem) + 1)):
+            continue  # a beginning or a continuation of a surer one
+        chosen.append(term)
+        begun.update(stem[:k] for k in range(1, len(stem) + 1))
+        begun.add(stem + "*")
+    return chosen
 
 
 class LabelModel:
-    """How often voters vote on toxic and on clean documents, and how they hang together."""
+    """How often voters fire on toxic documents, and on a word of clean ones, and what votes weigh.
 
-    def __init__(self, fires: np.ndarray, both: np.ndarray, documents: int, toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int):
-        """fires, both: votes of each voter and pair over all documents; toxic, clean: on labelled rows."""
-        n = max(documents, 1)
-        share = fires / n
+    A toxic document means its votes, however long it is; a clean one meets a term by
+    chance, so the more often the more words it has.  Silence, the last voter, fires where
+    no other does and speaks for clean.
+    """
+
+    def __init__(self, toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int, words: float):
+        """toxic, clean: votes of each voter on labelled rows; words: different words of the clean rows, summed up."""
         self.prior = float(np.clip((n_toxic + 1) / (n_toxic + n_clean + 10), 0.005, 0.5))
-        hit = np.where(n_toxic > 0, (toxic + 0.5) / (n_toxic + 1), np.minimum(share / self.prior, 0.5) * 0.9 + 1e-4)
-        false = (clean + 0.1) / (n_clean + 100)
-        pairs = both / n
-        apart = ~np.eye(len(fires), dtype=bool)
-        for _ in range(10):
-            # Pairs that vote together as often as toxicity explains tell a voter's rate again.
-            expected = self.prior * np.outer(hit, hit) + (1 - self.prior) * np.outer(false, false)
-            excess = (pairs - expected) / np.sqrt(np.outer(share, share) + 1e-12)
-            free = apart & (np.abs(excess) < 0.2) & (pairs > 0)
-            told = (pairs - (1 - self.prior) * np.outer(false, false)) / np.maximum(self.prior * hit[None, :], 1e-9)
-            seen = free.sum(axis=1)
-            again = np.where(seen >= 3, (np.where(free, told, 0).sum(axis=1)) / np.maximum(seen, 1), hit)
-            hit = np.clip(0.8 * hit + 0.2 * again, 1e-5, 0.95)
-            # What toxicity doesn't explain of a voter's votes is false, as far as labels allow.
-            rest = np.clip((share - self.prior * hit) / (1 - self.prior), 0, 1)
-            seldom = np.minimum(rest, 0.01 * hit)  # without labels voters are trusted
-            false = np.clip(np.where(n_clean > 0, (clean + 0.1 + 10 * np.minimum(rest, false)) / (n_clean + 110), seldom), 1e-6, 0.9)
-        self.hit, self.false = hit, false
-        expected = self.prior * np.outer(hit, hit) + (1 - self.prior) * np.outer(false, false)
-        self.correlation = np.where(apart, np.clip((pairs - expected) / np.sqrt(np.outer(share, share) + 1e-12), -1, 1), 1.0)
-        self.weight = 1 / (1 + np.where(apart, np.maximum(self.correlation, 0), 0).sum(axis=1))
-
-    def posterior(self, fired: np.ndarray) -> np.ndarray:
-        """Of rows of votes: the prior, and for each vote its odds, shared among voters that agree."""
-        odds = np.log(self.hit / self.false) * np.maximum(self.weight, 0.5)
-        z = np.log(self.prior / (1 - self.prior)) + fired @ odds
+        self.weight = np.ones(len(toxic))
+        if n_toxic + n_clean:
+            self.update(toxic + clean, toxic, n_toxic + n_clean, n_toxic, words)
+        else:  # without labels voters are trusted
+            self.hit, self.false = np.full(len(toxic), 0.1), np.full(len(toxic), 1e-5)
+            self.false[-1] = 0.9
+
+    def update(self, fired: np.ndarray, weighed: np.ndarray, documents: float, toxic: float, words: float) -> None:
+        """New rates from votes, and votes weighed by posteriors, over documents of which `toxic` are expected."""
+        spared, clean = np.maximum(fired - weighed, 0), max(documents - toxic, 0)
+        self.hit = np.clip((weighed + 0.5) / (toxic + 1), 1e-6, 0.95)
+        self.false = np.clip((spared + 0.1) / (words + 10_000), 1e-12, 0.9)
+        self.false[-1] = (spared[-1] + 0.5) / (clean + 1)
+
+    def odds(self) -> tuple[float, np.ndarray, np.ndarray]:
+        """Log odds of any document; what each vote adds, and takes for each unit of the logarithm of words."""
+        per_word = self.weight.copy()
+        per_word[-1] = 0
+        return math.log(self.prior / (1 - self.prior)), self.weight * np.log(self.hit / self.false), per_word
+
+    def posterior(self, row: np.ndarray, voter: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Of rows given by their votes (row, voter) and words."""
+        start, odds, per_word = self.odds()
+        z = start + np.bincount(row, weights=odds[voter] - per_word[voter] * np.log(np.maximum(words, 1))[row], minlength=len(words))
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit_linear(x: np.ndarray, y: np.ndarray, rounds: int = 60, penalty: float = 1e-3) -> np.ndarray:
-    """Logistic regression on soft labels by Newton steps; the last weight is the intercept."""
-    x = np.c_[x, np.ones(len(x))]
-    w, keep_small = np.zeros(x.shape[1]), penalty * len(x) * np.eye(x.shape[1]) / 100
+def _doubles(values: np.ndarray) -> Column:
+    return F.array(*[F.lit(float(x)) for x in values])
+
+
+def estimate(votes: DataFrame, model: LabelModel, passes: int = PASSES) -> LabelModel:
+    """The model with rates and weights estimated on all documents (votes: [(voter, times)], words, y).
+
+    A document has its label if y isn't null, and else its posterior; the prior stays that of
+    the labelled rows.  Each pass is one aggregate over the votes; what is collected is a row
+    for each voter.
+    """
+    m, voters = len(model.hit), F.col("votes.voter")
+    for _ in range(passes):
+        start, odds, per_word = model.odds()
+        each, taken, length = _doubles(odds), _doubles(per_word), F.log(F.greatest(F.col("words"), F.lit(1)))
+        z = F.aggregate(F.transform(voters, lambda v: each[v] - taken[v] * length), F.lit(start), lambda s, x: s + x)  # noqa: B023
+        told = votes.select(F.coalesce(F.col("y").cast("double"), 1 / (1 + F.exp(-z))).alias("p"), "words", F.explode(F.array_append(voters, F.lit(m))).alias("voter"))
+        summed = told.groupBy("voter").agg(F.count("*").alias("n"), F.sum("p").alias("p"), F.sum((1 - F.col("p")) * F.col("words")).alias("words"))
+        sums = {r["voter"]: (r["n"], r["p"], r["words"]) for r in summed.collect()}
+        fired, weighed = (np.array([sums.get(v, (0, 0.0))[k] for v in range(m)], dtype=float) for k in (0, 1))
+        documents, toxic, words = sums.get(m, (0, 0.0, 0.0))
+        model.update(fired, weighed, documents, toxic, words)
+    terms = F.filter(voters, lambda v: v < m - 1)
+    met = votes.select(F.explode(terms).alias("i"), terms.alias("all")).select("i", F.explode("all").alias("j")).where("i != j")
+    together = met.groupBy("i", "j").count().collect()  # pairs of voters, whatever the number of documents
+    i, j, n = (np.array([r[k] for r in together], dtype=int) for k in ("i", "j", "count"))
+    # Toxicity alone would bring two voters together so often; what is beyond ties them.
+    alone = weighed[i] * weighed[j] / max(toxic, 1)
+    excess = (n - alone) / np.sqrt(np.maximum(fired[i] * fired[j], 1))
+    tied = np.bincount(i, weights=np.clip(excess, 0, 1), minlength=m) if len(i) else np.zeros(m)
+    model.weight = np.maximum(1 / (1 + tied), 0.5)
+    return model
+
+
+def fit_linear(row: np.ndarray, column: np.ndarray, value: np.ndarray, y: np.ndarray, width: int, rounds: int = 40, penalty: float = 1e-5) -> np.ndarray:
+    """Logistic regression on soft labels, of sparse rows; the last weight is the intercept.
+
+    Newton steps, each solved by conjugate gradients.
+    """
+    n = len(y)
+    row, column, value = np.r_[row, np.arange(n)], np.r_[column, np.full(n, width)], np.r_[value, np.ones(n)]
+    times = lambda w: np.bincount(row, weights=value * w[column], minlength=n)
+    back = lambda r: np.bincount(column, weights=value * r[row], minlength=width + 1)
+    w, ridge = np.zeros(width + 1), penalty * n + 1e-9
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + keep_small + 1e-9 * np.eye(len(w)), x.T @ (p - y) + keep_small @ w)
+        p = 1 / (1 + np.exp(-np.clip(times(w), -30, 30)))
+        gradient, curve = back(p - y) + ridge * w, p * (1 - p)
+        step, rest = np.zeros(width + 1), gradient.copy()
+        ahead, size = rest.copy(), rest @ rest
+        for _ in range(2 * (width + 1)):
+            if size < 1e-16 * max(1.0, gradient @ gradient):
+                break
+            bent = back(curve * times(ahead)) + ridge * ahead
+            far = size / (ahead @ bent)
+            step, rest = step + far * ahead, rest - far * bent
+            size, last = rest @ rest, size
+            ahead = rest + size / last * ahead
         w -= np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-6:
             break
     return w
 
 
-def _matrix(votes: pd.Series, m: int) -> tuple[np.ndarray, np.ndarray]:
-    """Fired (0 or 1) and times (logarithm) by row and voter."""
-    fired, times = np.zeros((len(votes), m)), np.zeros((len(votes), m))
-    for i, row in enumerate(votes):
-        for v in row:
-            fired[i, v["voter"]], times[i, v["voter"]] = 1, np.log1p(v["times"])
-    return fired, times
+def _sparse(votes: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, voter and times (logarithm) of every vote."""
+    row = np.repeat(np.arange(len(votes)), [len(v) for v in votes])
+    flat = [x for v in votes for x in v]
+    return row, np.array([x["voter"] for x in flat], dtype=int), np.log1p(np.array([x["times"] for x in flat], dtype=float))
 
 
 def score(docs: DataFrame, labels: DataFrame, training: Column, label: str = "toxic", sample: int = SAMPLE) -> DataFrame:
@@ -197,21 +280,34 @@ def score(docs: DataFrame, labels: DataFrame, training: Column, label: str = "to
     small_batches(docs.sparkSession)
     rows = keep(labelled(docs, labels, label, training, sample), "toxic-sample")
     terms = list(dict.fromkeys([*LEXICON, *mine(rows)]))
-    m, vote = len(terms), voting(terms)
-    votes = keep(docs.select("doc_id", vote("text").alias("votes")), "toxic-votes")
-    met = votes.select(F.explode("votes.voter").alias("i"), F.col("votes.voter").alias("all")).select("i", F.explode("all").alias("j"))
-    both = np.zeros((m, m))
-    for r in met.groupBy("i", "j").count().collect():  # at most voters x voters
-        both[r["i"], r["j"]] = r["count"]
-    known = rows.select("y", vote("text").alias("votes")).toPandas()
-    fired, times = _matrix(known["votes"], m)
-    y = known["y"].to_numpy(dtype=int)
-    model = LabelModel(np.diag(both), both, votes.count(), fired[y == 1].sum(axis=0), fired[y == 0].sum(axis=0), int((y == 1).sum()), int((y == 0).sum()))
-    # One vote, and none, are trained on even where no labelled row is there to vote on.
-    fired, times = np.r_[fired, np.eye(m), np.zeros((m, m))], np.r_[times, np.eye(m) * np.log(2), np.zeros((m, m))]
-    weights = fit_linear(np.c_[fired, times], model.posterior(fired))
-    first, more = (F.array(*[F.lit(float(w)) for w in part]) for part in (weights[:m], weights[m : 2 * m]))
-    z = F.aggregate("votes", F.lit(float(weights[-1])), lambda s, v: s + first[v["voter"]] + more[v["voter"]] * F.log1p(v["times"].cast("double")))
+    m, vote = len(terms) + 1, voting(terms)
+    told = F.broadcast(rows.select(F.col("doc_id").alias("told"), "y"))  # at most `sample` rows
+    votes = docs.select("doc_id", vote("text").alias("v")).join(told, F.col("doc_id") == F.col("told"), "left")
+    votes = keep(votes.select("doc_id", "v.votes", "v.words", "y"), "toxic-votes")
+    known = rows.select("y", vote("text").alias("v")).select("y", "v.votes", "v.words").collect()
+    y = np.array([r["y"] for r in known], dtype=int)
+    row, voter, _ = _sparse([r["votes"] for r in known])
+    toxic, clean = (np.bincount(voter[y[row] == k], minlength=m).astype(float) for k in (1, 0))
+    model = LabelModel(toxic, clean, int((y == 1).sum()), int((y == 0).sum()), float(sum(r["words"] for r in known if r["y"] == 0)))
+    model = estimate(votes, model)
+    hashed = F.xxhash64(F.lit(7), F.col("doc_id"))
+    few = smallest_hashes(votes, hashed, sample, votes.count())
+    more = few.orderBy(hashed, "words", F.col("votes").cast("string")).limit(sample).select("votes", "words").collect()
+    # Single votes in short texts, and none, are trained on even where no row is there to vote on.
+    made = [([{"voter": v, "times": 1}], n) for v in range(m - 1) for n in (20, 100)] + [([{"voter": m - 1, "times": 1}], 100)] * m
+    trained = [(r["votes"], r["words"]) for r in [*known, *more]] + made
+    row, voter, times = _sparse([t[0] for t in trained])
+    words = np.array([t[1] for t in trained], dtype=float)
+    soft = model.posterior(row, voter, words)
+    # Inputs: which voters fired, how often, and the length of the text once for each vote.
+    some = voter < m - 1
+    length = np.log(np.maximum(words, 1))[row]
+    inputs = np.r_[row, row, row[some]], np.r_[voter, voter + m, np.full(some.sum(), 2 * m)], np.r_[np.ones(len(row)), times, length[some]]
+    weights = fit_linear(*inputs, soft, 2 * m + 1)
+    first, again, per_word = _doubles(weights[:m]), _doubles(weights[m : 2 * m]), _doubles(np.r_[np.full(m - 1, weights[2 * m]), 0.0])
+    size = F.log(F.greatest(F.col("words"), F.lit(1)))
+    told = F.transform("votes", lambda v: first[v["voter"]] + again[v["voter"]] * F.log1p(v["times"].cast("double")) + per_word[v["voter"]] * size)
+    z = F.aggregate(told, F.lit(float(weights[-1])), lambda s, x: s + x)
     return votes.select("doc_id", (1 / (1 + F.exp(-z))).alias("score"))
 
 
