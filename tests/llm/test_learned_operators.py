@@ -51,6 +51,54 @@ def test_the_lexicon_alone_votes_without_labels(spark, labels):
     assert [r.doc_id for r in toxicity.reject_toxic(df, labels.limit(0)).orderBy("doc_id").collect()] == [2, 3]
 
 
+def test_held_out_toxic_rows_are_found_and_clean_ones_left(spark):
+    """Recall and precision; some labels of these tables are wrong, which bounds both."""
+    sf = "/root/testdata/sf0.1"
+    marked = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
+    found = QUERIES["op7_toxicity"](spark, sf).where("held_out").join(marked, "doc_id")
+    counts = {(r.toxic, r.predicted): r["count"] for r in found.groupBy("toxic", "predicted").count().collect()}
+    assert counts[1, 1] >= 0.92 * (counts[1, 1] + counts[1, 0]) and counts[1, 1] >= 0.9 * (counts[1, 1] + counts[0, 1])
+
+
+def test_label_model_finds_the_rates_behind_made_votes(spark):
+    """From few labels and many documents; two voters that say the same thing share a weight."""
+    rng = np.random.default_rng(17)
+    n, hit, false = 12_000, np.array([0.5, 0.4, 0.3, 0.3, 0.2]), np.array([2e-6, 1e-5, 1e-6, 5e-6, 1e-6])
+    y, words = rng.random(n) < 0.15, rng.integers(50, 400, n)
+    fired = rng.random((n, 5)) < np.where(y[:, None], hit, 1 - np.exp(-false * words[:, None]))
+    fired = np.c_[fired, fired[:, 0]]  # the last one follows the first
+    votes = [([{"voter": int(v), "times": 1} for v in np.flatnonzero(f)] or [{"voter": 6, "times": 1}]) for f in fired]
+    labels = [int(y[i]) if i < 400 else None for i in range(n)]
+    table = spark.createDataFrame(list(zip(votes, words.tolist(), labels, strict=True)), "votes array<struct<voter:int,times:int>>, words int, y int")
+    some = np.c_[fired, ~fired.any(axis=1)][:400]
+    known = y[:400]
+    model = toxicity.LabelModel(some[known].sum(axis=0) * 1.0, some[~known].sum(axis=0) * 1.0, int(known.sum()), int((~known).sum()), float(words[:400][~known].sum()))
+    first = model.hit.copy()
+    model = toxicity.estimate(table, model)
+    truth = fired[y].mean(axis=0)
+    assert np.abs(model.hit[:6] - truth).max() < 0.06 and np.abs(model.hit[:6] - truth).mean() < np.abs(first[:6] - truth).mean()
+    assert model.weight[0] == model.weight[5] < 0.7 and model.weight[1:5].min() > 0.9
+    row, voter, _ = toxicity._sparse(votes)
+    sure = model.posterior(row, voter, words.astype(float)) >= 0.5
+    assert (sure & y).sum() >= 0.97 * (y & fired.any(axis=1)).sum() and (sure & ~y).sum() <= 0.05 * sure.sum()
+
+
+def test_mining_takes_one_stem_and_no_word_of_a_copied_text(spark):
+    rng = np.random.default_rng(23)
+    word = lambda: f"{''.join(rng.choice(list('abcdefghij'), 6))}"
+    plain = lambda n: [word() for _ in range(n)]
+    rows = [(0, " ".join(plain(40))) for _ in range(600)]
+    for i in range(60):
+        text = plain(40)
+        text[int(rng.integers(40))] = f"zorkl{'abcd'[i % 4]}"
+        rows.append((1, " ".join(text)))
+    copied = " ".join(plain(40))
+    rows += [(1, f"{copied} {word()}") for _ in range(40)]
+    terms = toxicity.mine(spark.createDataFrame(rows, "y int, text string"))
+    assert len([t for t in terms if t.startswith("zork")]) == 1 and not any(w.startswith(t.rstrip("*")) for t in terms for w in copied.split())
+    assert toxicity.mine(spark.createDataFrame(rows[:5], "y int, text string")) == []
+
+
 def test_additive_model_learns_an_interaction():
     rng = np.random.default_rng(1)
     x = rng.random((4000, 3))
