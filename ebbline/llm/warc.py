@@ -1,4 +1,4 @@
-"""Seekable Zstandard bundles of WARC records.
+"""Seekable Zstandard bundles of WARC/1.1 records.
 
 Records are grouped into independent frames of about ``FRAME_BYTES``; a bundle of frames
 ends with a seek table in a skippable frame, so that any Zstandard reader can read the
@@ -7,13 +7,21 @@ bundle whole and a seeking reader opens one frame.  Each record's identifier map
 
 A bundle is one row (bundle, data, records) of a table that Spark writes, so the store may
 be any that Spark reaches, and a lost task is written again or not at all.
+:func:`export` writes the bundles of such a table as objects of their own.
+
+A response holds an HTTP head and the payload, a revisit the head only.  A record's
+identifier is derived from page_id, URL and payload, so a revisit can name its response
+wherever that is written; rows alike in all three are one record, written again.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import struct
+import uuid
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pandas as pd
 import zstandard
@@ -21,12 +29,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.llm.common import small_batches
+from ebbline.llm.common import keep, small_batches
 
 FRAME_BYTES = 256 << 10
 BUNDLE_BYTES = 16 << 20
 #: Payloads below this size are always written in full.
 REVISIT_BYTES = 1000
+#: WARC-Date of pages whose time isn't known.
+DATE = "1970-01-01T00:00:00Z"
 BUNDLES = "bundle string, data binary, records array<struct<page_id:bigint,frame:int,start:bigint,length:bigint>>"
 
 # Fixed values of the seekable format.
@@ -38,7 +48,7 @@ def classify(pages: DataFrame) -> DataFrame:
     """Pages with payload, payload_bytes, payload_digest, record_type and refers_to.
 
     Of equal payloads of at least REVISIT_BYTES, that of the largest page_id is the
-    response.  A null payload is empty.  A null page_id is never a response that others
+    response, refers_url its URL (the largest, if the page has several).  A null payload is empty.  A null page_id is never a response that others
     refer to, unless all are null.  Rows that repeat a response's page_id and payload are
     responses too.  Counting is by digest before the join, whose one-row side lets Spark
     split a digest that many pages share.
@@ -47,9 +57,9 @@ def classify(pages: DataFrame) -> DataFrame:
     rows = pages.select("page_id", "url", payload.alias("payload")).select(
         "*", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest")
     )
-    own = pages.select(payload.alias("payload"), "page_id").where(F.octet_length("payload") >= REVISIT_BYTES)
-    last = own.groupBy(F.sha1("payload").alias("payload_digest")).agg(F.max("page_id").alias("last_id"))
-    revisit = (F.col("payload_bytes") >= REVISIT_BYTES) & ~F.col("page_id").eqNullSafe(F.col("last_id"))
+    own = pages.select(payload.alias("payload"), "page_id", "url").where(F.octet_length("payload") >= REVISIT_BYTES)
+    last = own.groupBy(F.sha1("payload").alias("payload_digest")).agg(F.max(F.struct("page_id", "url")).alias("last"))
+    revisit = (F.col("payload_bytes") >= REVISIT_BYTES) & ~F.col("page_id").eqNullSafe(F.col("last.page_id"))
     return rows.join(last, "payload_digest", "left").select(
         "page_id",
         "url",
@@ -57,27 +67,39 @@ def classify(pages: DataFrame) -> DataFrame:
         "payload_bytes",
         "payload_digest",
         F.when(revisit, "revisit").otherwise("response").alias("record_type"),
-        F.when(revisit, F.col("last_id")).alias("refers_to"),
+        F.when(revisit, F.col("last.page_id")).alias("refers_to"),
+        F.when(revisit, F.col("last.url")).alias("refers_url"),
     )
 
 
-def _identifier(page: int | None) -> str:
-    return "<urn:page:none>" if page is None else f"<urn:page:{page}>"
+def _identifier(page: int | None, url: str | None, digest: str) -> str:
+    name = json.dumps([page, url, digest]).encode()
+    return f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha256(name).digest()[:16], version=5)}>"
+
 
+def _uri(url: str | None) -> str:
+    """The URL with white space, controls and what isn't ASCII percent-encoded, as a URI must be."""
+    return quote(url, safe="%!#$&'()*+,/:;=?@[]~-._") if url else "about:blank"
 
-def _record(page, url, payload, size, digest, kind, refers) -> bytes:
+
+def _record(page, url, payload, size, digest, kind, refers, refers_url, date) -> bytes:
+    head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     lines = [
         "WARC/1.1",
         f"WARC-Type: {kind}",
-        f"WARC-Record-ID: {_identifier(page)}",
-        f"WARC-Target-URI: {''.join((url or '').split())}",
+        f"WARC-Record-ID: {_identifier(page, url, digest)}",
+        f"WARC-Date: {date}",
+        f"WARC-Target-URI: {_uri(url)}",
         f"WARC-Payload-Digest: sha1:{digest}",
-        f"X-Payload-Length: {size}",
-        "Content-Type: text/html",
+        "Content-Type: application/http; msgtype=response",
+        f"X-Page: {json.dumps([page, size, refers])}",
     ]
+    if _uri(url) != url:  # what the page has instead
+        lines.append(f"X-Target: {json.dumps(url)}")
     if kind == "revisit":
-        lines += [f"WARC-Profile: {_PROFILE}", f"WARC-Refers-To: {_identifier(refers)}"]
-    body = payload or b""
+        lines += [f"WARC-Profile: {_PROFILE}", f"WARC-Refers-To: {_identifier(refers, refers_url, digest)}"]
+        lines += [f"WARC-Refers-To-Target-URI: {_uri(refers_url)}", f"WARC-Refers-To-Date: {date}", "WARC-Truncated: length"]
+    body = head + (payload or b"")
     lines += [f"Content-Length: {len(body)}", "", ""]
     return "\r\n".join(lines).encode() + body + b"\r\n\r\n"
 
@@ -110,35 +132,61 @@ class _Bundle:
         return b"".join(self.frames) + struct.pack("<II", _SKIPPABLE, len(table)) + table
 
 
-def _bundles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    task, n, bundle = TaskContext.get().partitionId(), 0, _Bundle()
-
-    def row() -> pd.DataFrame:
-        return pd.DataFrame({"bundle": [f"{task:06d}-{n:06d}.warc.zst"], "data": [bundle.data()], "records": [bundle.records]})
+def _bundles(date: str):
+    def bundles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        task, n, bundle = TaskContext.get().partitionId(), 0, _Bundle()
 
-    for batch in batches:
-        ids = (None if pd.isna(x) else int(x) for x in batch["page_id"].astype("Int64"))
-        refers = (None if pd.isna(x) else int(x) for x in batch["refers_to"].astype("Int64"))
-        for page, url, payload, size, digest, kind, to in zip(
-            ids, batch["url"], batch["payload"], batch["payload_bytes"], batch["payload_digest"], batch["record_type"], refers, strict=True
-        ):
-            bundle.add(page, _record(page, url, payload, size, digest, kind, to))
-            if bundle.bytes >= BUNDLE_BYTES:
-                yield row()
-                n, bundle = n + 1, _Bundle()
-    if bundle.records:
-        yield row()
+        def row() -> pd.DataFrame:
+            return pd.DataFrame({"bundle": [f"{task:06d}-{n:06d}.warc.zst"], "data": [bundle.data()], "records": [bundle.records]})
 
-
-def write_archives(pages: DataFrame, path: str) -> None:
+        for batch in batches:
+            ids = (None if pd.isna(x) else int(x) for x in batch["page_id"].astype("Int64"))
+            refers = (None if pd.isna(x) else int(x) for x in batch["refers_to"].astype("Int64"))
+            urls, refers_urls = ((None if pd.isna(x) else x for x in batch[c]) for c in ("url", "refers_url"))
+            for page, url, payload, size, digest, kind, to, to_url in zip(
+                ids, urls, batch["payload"], batch["payload_bytes"], batch["payload_digest"], batch["record_type"], refers, refers_urls, strict=True
+            ):
+                bundle.add(page, _record(page, url, payload, size, digest, kind, to, to_url, date))
+                if bundle.bytes >= BUNDLE_BYTES:
+                    yield row()
+                    n, bundle = n + 1, _Bundle()
+        if bundle.records:
+            yield row()
+
+    return bundles
+
+
+def write_archives(pages: DataFrame, path: str, date: str = DATE) -> None:
     """Write pages (page_id, url, html; other columns are left out) as bundles to a table.
 
-    An empty table gives an empty table of bundles.  Page ids are text in the identifiers
-    and integers in the map; a null id is written as "none".
+    `date` is the WARC-Date of all records, as pages have none of their own.  An empty table
+    gives an empty table of bundles.  A page longer than a frame or a bundle is one record
+    in a frame and a bundle of its own size.
     """
     small_batches(pages.sparkSession)
     ids = pages.withColumn("page_id", F.col("page_id").cast("long"))
-    classify(ids).mapInPandas(_bundles, BUNDLES).write.parquet(path)
+    classify(ids).mapInPandas(_bundles(date), BUNDLES).write.parquet(path)
+
+
+def export(spark, path: str, folder: str) -> DataFrame:
+    """Write each bundle of the table at `path` as an object <bundle> into `folder`; (object, bytes).
+
+    `folder` is a path or URI that pyarrow's file systems reach from every executor.  An
+    object's name is its bundle's, so a task that runs again writes the same objects.
+    """
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+        store.create_dir(root, recursive=True)
+        for batch in batches:
+            for name, data in zip(batch["bundle"], batch["data"], strict=True):
+                with store.open_output_stream(f"{root}/{name}", compression=None) as out:
+                    out.write(data)
+            yield pd.DataFrame({"object": batch["bundle"], "bytes": batch["data"].map(len)})
+
+    return keep(spark.read.schema(BUNDLES).parquet(path).select("bundle", "data").mapInPandas(write, "object string, bytes long"), "warc-objects")
 
 
 def seek_table(data: bytes) -> list[tuple[int, int]]:
@@ -159,15 +207,10 @@ def read_frame(data: bytes, table: list[tuple[int, int]], frame: int) -> bytes:
 
 
 def parse(record: bytes) -> tuple[dict[str, str], bytes]:
-    """Headers and payload of one record."""
+    """Headers and payload, what follows the HTTP head, of one record."""
     head, _, body = record.partition(b"\r\n\r\n")
     headers = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
-    return headers, body[: int(headers["Content-Length"])]
-
-
-def _page(identifier: str | None) -> int | None:
-    number = (identifier or "").removesuffix(">").rpartition(":")[2]
-    return int(number) if number.lstrip("-").isdigit() else None
+    return headers, body[: int(headers["Content-Length"])].partition(b"\r\n\r\n")[2]
 
 
 READ = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary"
@@ -185,17 +228,9 @@ def _read(payloads: bool):
                     kind, digest = headers["WARC-Type"], headers["WARC-Payload-Digest"].partition(":")[2]
                     if kind == "response" and hashlib.sha1(payload).hexdigest() != digest:
                         raise ValueError(f"payload of {headers['WARC-Record-ID']} doesn't match its digest")
-                    rows.append(
-                        (
-                            _page(headers["WARC-Record-ID"]),
-                            int(headers["X-Payload-Length"]),
-                            digest,
-                            kind,
-                            _page(headers.get("WARC-Refers-To")),
-                            headers["WARC-Target-URI"],
-                            payload if payloads else None,
-                        )
-                    )
+                    page, size, refers = json.loads(headers["X-Page"])
+                    url = json.loads(headers["X-Target"]) if "X-Target" in headers else headers["WARC-Target-URI"]
+                    rows.append((page, size, digest, kind, refers, url, payload if payloads else None))
                     if len(rows) >= (100 if payloads else 10_000):
                         yield _frame(rows)
                         rows = []
