@@ -1,12 +1,16 @@
 from __future__ import annotations
 
 import hashlib
+import io
 import random
 import re
+import uuid
+from http import client
 
 import numpy as np
 import pytest
 import xxhash
+import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -44,12 +48,8 @@ def test_warc_revisits_ties_nulls_and_single_pages(spark):
 
 
 def test_warc_bundle_is_plain_zstandard_and_its_frames_open_alone():
-    import io
-
-    import zstandard
-
     bundle = warc._Bundle()
-    records = [warc._record(i, "http://x", bytes([65 + i]) * 150_000, 150_000, "d", "response", None) for i in range(5)]
+    records = [warc._record(i, "http://x", bytes([65 + i]) * 150_000, 150_000, "d", "response", None, None, warc.DATE) for i in range(5)]
     for i, r in enumerate(records):
         bundle.add(i, r)
     data = bundle.data()
@@ -61,6 +61,76 @@ def test_warc_bundle_is_plain_zstandard_and_its_frames_open_alone():
     assert warc.parse(frame[last["start"] : last["start"] + last["length"]])[1] == b"E" * 150_000
 
 
+def warc_records(data: bytes):
+    """Records of an uncompressed archive by the grammar of the format: (headers, block)."""
+    at = 0
+    while at < len(data):
+        end = data.index(b"\r\n\r\n", at)
+        version, *lines = data[at:end].decode("ascii").split("\r\n")
+        assert version == "WARC/1.1"
+        headers = {}
+        for line in lines:
+            name, value = re.fullmatch(r"([!#-'*+\-.0-9A-Z^-z|~]+):[ \t]*(.*?)[ \t]*", line).groups()
+            assert name not in headers
+            headers[name] = value
+        size = int(headers["Content-Length"])
+        block = data[end + 4 : end + 4 + size]
+        assert len(block) == size and data[end + 4 + size : end + 8 + size] == b"\r\n\r\n"
+        yield headers, block
+        at = end + 8 + size
+
+
+class Lines(io.BytesIO):
+    """A socket as http.client reads it."""
+
+    def makefile(self, *_):
+        return self
+
+
+def test_warc_objects_hold_to_the_format(spark, tmp_path):
+    long, other = "<p>" + "é" * 700, "<q>" + "z" * 2000
+    rows = [(1, "http://a b/x?q=1#é", long), (2, "http://a/%20y", long), (3, None, other), (None, "", other), (5, "http://c\n/", None), (5, "http://d/", "tiny"), (6, "http://e/", "tiny")]
+    path, folder = f"{shared_folder(spark)}/warc-objects-test-{uuid.uuid4().hex}", str(tmp_path / "objects")
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3), path, "2024-05-01T10:00:00Z")
+    objects = warc.export(spark, path, folder).collect()
+    assert sorted(f.name for f in (tmp_path / "objects").iterdir()) == sorted(r.object for r in objects)
+    met = []
+    for r in objects:
+        data = (tmp_path / "objects" / r.object).read_bytes()
+        assert len(data) == r.bytes and r.object.endswith(".warc.zst")
+        met += warc_records(zstandard.ZstdDecompressor().stream_reader(io.BytesIO(data), read_across_frames=True).read())
+    ids = {h["WARC-Record-ID"]: h for h, _ in met}
+    assert len(met) == len(ids) == len(rows)
+    for headers, block in met:
+        assert re.fullmatch(r"<urn:uuid:[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}>", headers["WARC-Record-ID"])
+        assert headers["WARC-Date"] == "2024-05-01T10:00:00Z" and headers["Content-Type"] == "application/http; msgtype=response"
+        assert re.fullmatch(r"[a-z]+:[!#-;=?-\[\]_a-z~%]*", headers["WARC-Target-URI"])
+        http = client.HTTPResponse(Lines(block), method="HEAD" if headers["WARC-Type"] == "revisit" else "GET")
+        http.begin()
+        assert http.status == 200 and http.getheader("Content-Type") == "text/html; charset=utf-8"
+        if headers["WARC-Type"] == "response":
+            assert "sha1:" + hashlib.sha1(http.read()).hexdigest() == headers["WARC-Payload-Digest"]
+        else:
+            response = ids[headers["WARC-Refers-To"]]
+            assert response["WARC-Type"] == "response" and response["WARC-Payload-Digest"] == headers["WARC-Payload-Digest"]
+            assert response["WARC-Target-URI"] == headers["WARC-Refers-To-Target-URI"] and headers["WARC-Profile"].startswith("http://netpreserve.org/warc/1.1/revisit/")
+    assert sorted(h["WARC-Type"] for h, _ in met).count("revisit") == 2
+    back = {(r.page_id, r.url): bytes(r.payload).decode() for r in warc.read_archives(spark, path).collect()}
+    assert set(back) == {(i, u) for i, u, _ in rows} and back[2, "http://a/%20y"] == long and back[5, "http://d/"] == "tiny"
+
+
+def test_warc_page_longer_than_a_bundle(spark):
+    import base64
+
+    rng = np.random.default_rng(9)
+    pages = [(1, "u", "first"), (2, "v", base64.b64encode(rng.bytes(27 << 20)).decode()), (3, "w", "last")]
+    path = f"{shared_folder(spark)}/warc-long-test-{uuid.uuid4().hex}"
+    warc.write_archives(spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1), path)
+    bundles = spark.read.parquet(path).select(F.length("data").alias("n"), F.size("records").alias("r")).collect()
+    assert sum(b.r for b in bundles) == 3 and max(b.n for b in bundles) > warc.BUNDLE_BYTES
+    assert {(r.page_id, bytes(r.payload).decode()) for r in warc.read_archives(spark, path).collect()} == {(i, t) for i, _, t in pages}
+
+
 def test_warc_of_no_pages(spark):
     path = f"{shared_folder(spark)}/warc-none"
     warc.write_archives(spark.createDataFrame([], "page_id long, url string, html string"), path)
