@@ -20,6 +20,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -60,16 +61,20 @@ class Voters:
     def votes(self, text: str | None) -> tuple[dict[int, int], int]:
         """How often each voter's term is met, and how many different words there are."""
         out: dict[int, int] = {}
-        words, starts, lengths = self.words, self.starts, self.lengths
         found = found_words(text)
         for word, n in found.items():
-            if (i := words.get(word)) is not None:
+            for i in self.of(word):
                 out[i] = out.get(i, 0) + n
-            for k in lengths:
-                if len(word) >= k and (i := starts.get(word[:k])) is not None:
-                    out[i] = out.get(i, 0) + n
         return out, len(found)
 
+    def of(self, word: str) -> list[int]:
+        """The voters whose term a word is."""
+        out = [i] if (i := self.words.get(word)) is not None else []
+        for k in self.lengths:
+            if len(word) >= k and (i := self.starts.get(word[:k])) is not None:
+                out.append(i)
+        return out
+
 
 def voting(terms: list[str]):
     """A column function from text to its votes [(voter, times)] and different words.
@@ -90,27 +95,47 @@ def voting(terms: list[str]):
     return vote
 
 
-_MET = T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.StructField("before", T.LongType()), T.StructField("after", T.LongType())]))
-
-
-@F.arrow_udf(_MET)
+@F.arrow_udf(T.ArrayType(T.StringType()))
 def _terms(texts: pa.Array) -> pa.Array:
-    """Words and beginnings of words of each text, and hashes of the words next to where each is met first."""
+    """Words and beginnings of words of each text."""
     out = []
     for text in texts:
-        words = ["", *_WORD.findall((text.as_py() or "").lower()), ""]
-        hashes = [xxhash.xxh64_intdigest(w) - 2**63 for w in words]
-        found: dict[str, int] = {}
-        for i, word in enumerate(words[1:-1], 1):
-            if word in found:
-                continue
-            found[word] = i
-            for k in PREFIXES:
-                if len(word) > k:
-                    found.setdefault(word[:k] + "*", i)
-        out.append([{"term": t, "before": hashes[i - 1], "after": hashes[i + 1]} for t, i in found.items()])
-    kind = pa.struct([("term", pa.string()), ("before", pa.int64()), ("after", pa.int64())])
-    return pa.array(out, type=pa.list_(kind))
+        words = set(_WORD.findall((text.as_py() or "").lower()))
+        out.append(sorted({*words, *(w[:k] + "*" for w in words for k in PREFIXES if len(w) > k)}))
+    return pa.array(out, type=pa.list_(pa.string()))
+
+
+def _counting(terms: list[str]):
+    """Counts, in a task, the rows (y, text) of each label that terms stand in."""
+
+    def counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        voters, held = Voters(terms), np.zeros((2, len(terms)), dtype=np.int64)
+        for batch in batches:
+            for y, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                met, _ = voters.votes(text)
+                held[y, list(met)] += 1
+        some = np.flatnonzero(held.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(held[1, some]), pa.array(held[0, some])], names=["i", "toxic", "clean"])
+
+    return counting
+
+
+def _beside(terms: list[str]):
+    """A column function from text to [(term, side, neighbour)]: hashes of the words next to where a term is met first."""
+
+    @F.arrow_udf("array<struct<i:int,side:int,beside:bigint>>")
+    def beside(texts: pa.Array) -> pa.Array:
+        voters, out = Voters(terms), []
+        for text in texts:
+            words = ["", *_WORD.findall((text.as_py() or "").lower()), ""]
+            first: dict[int, int] = {}
+            for at, word in enumerate(words[1:-1], 1):
+                for i in voters.of(word):
+                    first.setdefault(i, at)
+            out.append([{"i": i, "side": s, "beside": xxhash.xxh64_intdigest(words[at + 2 * s - 1]) - 2**63} for i, at in first.items() for s in (0, 1)])
+        return pa.array(out, type=pa.list_(pa.struct([("i", pa.int32()), ("side", pa.int32()), ("beside", pa.int64())])))
+
+    return beside
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, training: Column, sample: int) -> DataFrame:
@@ -130,28 +155,35 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, training: Column, s
 def mine(rows: DataFrame) -> list[str]:
     """Terms that tell the toxic rows (y, text) from the others, of those that begin alike the surest.
 
-    A term's evidence is the likelihood of its toxic and clean rows under its own share over
-    that under the share of all rows.  Rows where a term stands after the same word count
-    once, and so do those where it stands before the same one, or else every word of a text
-    that is copied often would tell.  Among n terms chance gives some one log(n) of evidence,
-    so that much and 1 more is asked for.  Every term that has it is taken; each stands in
-    SUPPORT or more toxic rows of the bounded sample.
+    Tested is every term that stands in SUPPORT or more toxic rows, of which the bounded sample
+    has so many.  A term's evidence is the likelihood of its toxic and clean rows under its
+    own share over that under the share of all rows.  Among n terms chance gives some one
+    log(n) of it, so that much and 1 more is asked for.  It must hold of rows, and again if
+    rows where the term stands after the same word count once, and if those where it stands
+    before the same one do: every word of a text that is copied often would tell otherwise.
     """
     by_label = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
     if len(by_label) < 2:
         return []
     share = by_label[1] / (by_label[0] + by_label[1])
-    n, toxic, clean = F.col("toxic") + F.col("clean"), F.col("toxic"), F.col("clean")
-    evidence = toxic * F.log(toxic / n / share) + F.when(clean > 0, clean * F.log(clean / n / (1 - share))).otherwise(0.0)
-    met = rows.select("y", F.explode(_terms("text")).alias("t"))
-    met = met.select("y", "t.term", F.posexplode(F.array("t.before", "t.after")).alias("side", "beside")).distinct()
+    often = rows.where("y = 1").select(F.explode(_terms("text")).alias("term")).groupBy("term").count().where(F.col("count") >= SUPPORT)
+    tested = sorted(r["term"] for r in often.collect())
+    least = math.log(max(1, len(tested))) + 1
+
+    def evidence(toxic: int, clean: int) -> float:
+        n = toxic + clean
+        if toxic < SUPPORT or toxic < PURITY * clean:
+            return 0.0
+        return toxic * math.log(toxic / n / share) + (clean * math.log(clean / n / (1 - share)) if clean else 0.0)
+
+    counted = rows.select("y", "text").mapInArrow(_counting(tested), "i int, toxic long, clean long").groupBy("i").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    sure = sorted(tested[r["i"]] for r in counted.collect() if evidence(r["toxic"], r["clean"]) >= least)
+    met = rows.select("y", F.explode(_beside(sure)("text")).alias("b")).select("y", "b.*").distinct()
     fewest = lambda y: F.least(*[F.count_if((F.col("y") == y) & (F.col("side") == k)) for k in (0, 1)])
-    counted = met.groupBy("term").agg(fewest(1).alias("toxic"), fewest(0).alias("clean"))
-    counted = keep(counted.where(n >= SUPPORT).withColumn("evidence", evidence), "toxic-terms")
-    least = math.log(max(1, counted.count())) + 1
-    sure = counted.where((toxic >= SUPPORT) & (toxic >= PURITY * clean) & (F.col("evidence") >= least)).select("term", "evidence")
+    again = met.groupBy("i").agg(fewest(1).alias("toxic"), fewest(0).alias("clean")).collect()
+    surest = [(sure[r["i"]], e) for r in again if (e := evidence(r["toxic"], r["clean"])) >= least]
     chosen, begun = [], set()
-    for term, _ in sorted(((r["term"], r["evidence"]) for r in sure.collect()), key=lambda t: (-t[1], len(t[0]), t[0])):
+    for term, _ in sorted(surest, key=lambda t: (-t[1], len(t[0]), t[0])):
         stem = term.removesuffix("*")
         if stem in begun or any(stem[:k] + "*" in begun for k in range(1, len(stem) + 1)):
             continue  # a beginning or a continuation of a surer one
