@@ -36,7 +36,7 @@ def test_warc_revisits_ties_nulls_and_single_pages(spark):
     long = "<p>" + "é" * 600
     rows = [(3, "u", long), (9, "u", long), (5, None, long), (None, "u", long), (7, "u", "short"), (8, "u", "short"), (2, "u", None), (9, "u", long)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("payload", F.lit(1)).withColumn("data", F.lit(2))
-    path = f"{shared_folder(spark)}/warc-test"
+    path = f"{shared_folder(spark)}/warc-test-{uuid.uuid4().hex}"
     warc.write_archives(pages.coalesce(1), path)
     back = [(r.page_id, r.record_type, r.refers_to, r.payload_bytes) for r in warc.read_archives(spark, path).collect()]
     size = len(long.encode())
@@ -132,7 +132,7 @@ def test_warc_page_longer_than_a_bundle(spark):
 
 
 def test_warc_of_no_pages(spark):
-    path = f"{shared_folder(spark)}/warc-none"
+    path = f"{shared_folder(spark)}/warc-none-{uuid.uuid4().hex}"
     warc.write_archives(spark.createDataFrame([], "page_id long, url string, html string"), path)
     assert warc.read_archives(spark, path).count() == 0
 
