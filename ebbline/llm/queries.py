@@ -172,4 +172,38 @@ kept AS (
 SELECT d.doc_id, CAST(coalesce(k.removed_lines, 0) AS BIGINT) AS removed_lines,
        CASE WHEN k.removed_lines > 0 THEN k.text ELSE d.text END AS text
 FROM d LEFT JOIN kept k USING (doc_id)""",
+    "op12_conversation_trie": r"""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS r
+  FROM conversations WHERE conv_id IS NOT NULL),
+n AS (SELECT c, max(r) AS n FROM t GROUP BY c),
+crc AS (
+  SELECT c, n, c - c % 20 AS base, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                             lambda e, z: xor(e >> 1, 3988292384 * (e & 1)))), 4294967295) % 4 AS h
+  FROM n),
+g AS (SELECT q.c, q.base, q.h, least(q.h, coalesce(b.n, 0)) AS given FROM crc q LEFT JOIN n b ON b.c = q.base),
+m AS (
+  SELECT g.c, t.r AS d, t.role, t.text FROM g JOIN t ON t.c = g.base WHERE t.r <= g.given
+  UNION ALL SELECT g.c, t.r - g.h + g.given, t.role, t.text FROM g JOIN t ON t.c = g.c WHERE t.r > g.h
+  UNION ALL SELECT c, 0, '', '' FROM g),
+p AS (
+  SELECT c, d, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words, max(d) OVER (PARTITION BY c) AS last,
+         string_agg(md5(length(role) || ':' || role || text), '') OVER (PARTITION BY c ORDER BY d) AS k
+  FROM m),
+q AS (SELECT *, lag(k) OVER (PARTITION BY c ORDER BY d) AS pk FROM p),
+v AS (
+  SELECT d, k, min(pk) AS pk, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(words) AS saved,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (d = last), '')) AS ends_sha256
+  FROM q GROUP BY d, k),
+kids AS (SELECT pk, count(*) AS n FROM v GROUP BY pk),
+w AS (SELECT v.*, coalesce(kids.n, 0) AS n_children FROM v LEFT JOIN kids ON kids.pk = v.k),
+sums AS (
+  SELECT p.k, sum(CASE WHEN w.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(w.saved) AS saved_tokens
+  FROM w JOIN p ON p.c = w.conv_id AND p.d <= w.d GROUP BY p.k)
+SELECT w.conv_id, CAST(w.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, w.n_convs, CAST(w.n_children AS BIGINT) AS n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, w.ends_sha256
+FROM w JOIN sums USING (k) LEFT JOIN v up ON up.k = w.pk""",
 }
