@@ -251,7 +251,7 @@ def drill_across(
         grouped = semantic_query(tables, own, used, (), aggregate)
         measures = grouped.columns[len(used) :]
         named = grouped.toDF(*dimensions, *measures)
-        absent = [F.lit(None).cast("decimal(38,2)").alias(c) for c in columns if c not in measures]
+        absent = [F.lit(None).alias(c) for c in columns if c not in measures]  # of no type, so the fact's stays
         sides.append(named.select(*dimensions, *measures, *absent))
     every = sides[0]
     for side in sides[1:]:

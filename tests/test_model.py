@@ -187,7 +187,7 @@ def test_each_table_is_read_once_for_all_its_checks(spark, tables, tmp_path):
 def test_drill_across_keeps_facts_apart(spark, tables):
     found = drill_across(
         tables,
-        ["cash_inflows.inflow_amount_usd", "cash_outflows.outflow_amount_usd", "positions.position_value_usd", "positions.quantity"][:3],
+        ["cash_inflows.inflow_amount_usd", "cash_outflows.outflow_amount_usd", "positions.position_value_usd"],
         {"region": ("counterparty_data.region", "business_unit_reference.region")},
     )
     assert found.columns == ["region", "inflow_amount_usd", "outflow_amount_usd", "position_value_usd"]
@@ -196,6 +196,11 @@ def test_drill_across_keeps_facts_apart(spark, tables):
     )
     whole = drill_across(tables, ["cash_inflows.inflow_amount_usd", "positions.position_value_usd"], {})
     assert rows(whole, *whole.columns) == [(7, 100)]
+    held = {**tables, "positions": tables["positions"].withColumn("quantity", F.lit(Decimal("1.2345")).cast("decimal(20,4)"))}
+    fine = drill_across(held, ["cash_outflows.outflow_amount_usd", "positions.quantity"], {})
+    assert rows(fine, *fine.columns) == [(Decimal("56.00"), Decimal("4.9380"))]
+    counted = drill_across(held, ["cash_inflows.inflow_amount_usd", "positions.quantity"], {}, "count")
+    assert [t for _, t in counted.dtypes] == ["bigint", "bigint"] and rows(counted, *counted.columns) == [(3, 4)]
     with pytest.raises(KeyError, match="none of"):
         drill_across(tables, ["positions.position_value_usd"], {"kind": ("counterparty_data.counterparty_type",)})
     with pytest.raises(ValueError, match="differ"):
