@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 import pytest
@@ -190,6 +191,24 @@ def test_join_without_broadcast_gives_the_same(spark, no_broadcast):
     assert {tuple(r) for r in run_what_if(b, "1", fx.NOON, 5).collect()} == want
 
 
+def test_positions_are_not_shuffled_by_unit_or_security_type(spark):
+    b = book(spark, [("1", *POS_UNIT, "REGION", "Asia", -0.2)])
+    text = stressed_book(b, ["1"]).positions._jdf.queryExecution().executedPlan().toString()
+    for key in ("business_unit_id", "security_type"):
+        assert re.search(rf"BroadcastHashJoin \[{key}#\d+\], \[{key}#\d+\], LeftOuter, BuildRight", text)
+
+
+def test_methods_of_a_what_if_run_are_short_enough_for_the_jit_compiler(spark, capsys):
+    b = book(spark, [("1", *CP, "REGION", "Europe", -0.1), ("2", *POS_UNIT, "REGION", "Asia", -0.2)])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        run_what_if(b, ["1", "2", "3"], fx.NOON).explain("codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 7000  # HotSpot compiles none of more than 8000
+
+
 def test_equal_flows_of_a_hot_counterparty_are_split(spark, no_broadcast):
     """A third of the rows are one flow of one counterparty, again and again."""
     b = book(spark, [("1", *CP, "REGION", "Europe", -0.1)])
