@@ -122,6 +122,15 @@ def test_the_largest_outflows_are_broadcast(spark):
     assert "BroadcastHashJoin [counterparty_id" in text and "LeftSemi" in text and "LeftOuter, BuildRight" in text
 
 
+def test_orders_find_their_customer_before_line_items_find_their_order(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(StarSchema(spark, SF_DIR).cash_outflows())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert re.findall(r"SortMergeJoin \[(\w+)#", text) == ["l_orderkey", "o_custkey"]
+
+
 def test_line_items_are_dealt_only_if_the_session_asks(spark):
     def shuffled(n):
         return f"hashpartitioning(l_extendedprice#0, l_shipdate#0, {n})" in re.sub(r"#\d+", "#0", plan(StarSchema(spark, SF_DIR).raw("lineitem")))
