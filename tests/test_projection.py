@@ -132,6 +132,55 @@ def test_wide_and_daily_routes_agree(spark):
         assert summed == fx.by_day(cashflow_daily(flow, "inflow", as_of, 12), "total_inflow")
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_wide_table_in_cents_is_exact(spark, ansi):
+    """Ties, signs, nulls and any stored money, cell by cell and in total, without decimals for usual rows."""
+    rng = random.Random(11)
+    values = ["0.005000", "-0.005000", "0.004999", "0", "9999999999.999999", "10000000000", "-10000000000.015000", "999999999999999999.99", "-123456789012345678.91"]
+    values += [str(Decimal(rng.randrange(-(10**17), 10**17)).scaleb(-rng.choice([1, 4, 6]))) for _ in range(60)]
+    rows = [(Decimal(v), EDGES[i % 6 + 2] if i % 8 < 6 else None) for i, v in enumerate(values)]
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        typed = "maturity_date date, total_hqla_usd decimal(24,6)"
+        detail = spark.createDataFrame([(m, v) for v, m in rows] + [(None, None)], typed)
+        for as_of, decay in ((fx.NOON, 0.99), (fx.MIDNIGHT, 0.9999), (fx.NOON, 1.0)):
+            wide = hqla_projection(detail, as_of, 11, decay, in_cents=True)
+            want = fx.plain_hqla(rows, as_of, 11, str(decay))
+            assert fx.by_day(wide_summary(wide, "total_hqla_usd", "t", 11), "t") == want
+            cells = wide.table()
+            assert [t for c, t in cells.dtypes if c.startswith("day_")] == ["bigint"] * 11
+            whole = {}
+            for r in cells.where("total_hqla_usd IS NOT NULL").collect():
+                at = (r.maturity_date, r.total_hqla_usd)
+                whole[at] = whole.get(at, 0) + r.unit * r.day_3_total_hqla_usd
+            curve = decay_curve(decay, 11)
+            with localcontext(prec=60):
+                for value, maturity in rows:
+                    alive = maturity is None or maturity >= as_of.date() + dt.timedelta(days=3)
+                    assert whole[maturity, value] == (int((value * curve[2]).quantize(Decimal("0.01"), ROUND_HALF_UP).scaleb(2)) if alive else 0), (value, maturity)
+        nothing = wide_summary(hqla_projection(detail.where("false"), fx.NOON, 11, 0.99, in_cents=True), "total_hqla_usd", "t", 11)
+        assert nothing.collect() == []
+        amounts = ["99999999999999999.99", "-10000000000.01", "9999999999.99", "0.07", "-0.01"]
+        flow = fx.flows(spark, "outflow", [(f"O{i}", "U", "C", amounts[i % 5], m) for i, m in enumerate(EDGES * 2)])
+        flow = flow.unionByName(flow.withColumn("outflow_amount_usd", F.lit(None).cast("decimal(20,2)")))
+        for as_of in INSTANTS:
+            wide = cashflow_projection(flow, "outflow", as_of, 12, in_cents=True)
+            summed = fx.by_day(wide_summary(wide, "outflow_stock", "t", 12), "t")
+            assert summed == fx.by_day(cashflow_daily(flow, "outflow", as_of, 12), "total_outflow")
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    with pytest.raises(ValueError):
+        hqla_projection(detail, fx.NOON, 11, 1.01, in_cents=True)
+
+
+def test_wide_table_in_cents_is_added_up_in_two_passes(spark):
+    detail = spark.createDataFrame([(None, Decimal("1.5"))], "maturity_date date, total_hqla_usd decimal(24,6)")
+    summed = wide_summary(hqla_projection(detail, fx.NOON, in_cents=True), "total_hqla_usd", "t")
+    text = summed._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("sum(CASE WHEN (live_days" in line for line in text.splitlines()) == 2
+    assert summed.count() == 150
+
+
 def test_groups_have_their_own_days(spark):
     rows = [("A", "U1", "CASH", "Long", "1.00", None), ("B", "U2", "CASH", "Long", "2.00", fx.day(1))]
     detail = hqla_detail(fx.positions(spark, rows), fx.classes(spark), fx.NOON, ("business_unit_id",))
