@@ -112,6 +112,49 @@ def test_sums_beyond_a_long_stay_exact(spark):
     assert daily == {1: fx.cents(value * n), 2: fx.cents(value * n)}
 
 
+def test_rows_are_laid_out_over_blocks_and_not_over_days(spark):
+    """A row that lives for 150 days is looked up in the hash table 10 times and not 151."""
+    n = 40
+    detail = detail_frame(spark, [(Decimal(f"{i}.123456"), None) for i in range(n)])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        daily = hqla_daily(detail, fx.NOON)
+        assert len(daily.collect()) == 150
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    nodes, generated = [daily._jdf.queryExecution().executedPlan()], []
+    while nodes:
+        node = nodes.pop()
+        nodes += [node.children().apply(i) for i in range(node.children().length())]
+        if node.nodeName() == "Generate" and "Exchange" not in str(node):
+            generated.append(node.metrics().apply("numOutputRows").value())
+    assert generated and max(generated) == 10 * n
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("value", ["999999999.995", "-999999999.994999", "1000000000.005", "123456789012345678.915"])
+def test_many_rows_of_a_task_are_added_up_exactly(spark, value, ansi):
+    """More rows than one double adds up, on both sides of the values that come by digits."""
+    n, days = 70_000, [None, fx.day(7)]
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        detail = spark.range(n).coalesce(1).select(
+            F.when(F.col("id") % 2 == 0, F.lit(days[1])).cast("date").alias("maturity_date"),
+            F.lit(Decimal(value)).cast("decimal(24,6)").alias("total_hqla_usd"),
+        )
+        daily = fx.by_day(hqla_daily(detail, fx.NOON, 20, 0.9999), "total_hqla_usd")
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    one = [fx.plain_hqla([(Decimal(value), day)], fx.NOON, 20, "0.9999") for day in days]
+    assert daily == {d: n // 2 * (one[0][d] + one[1][d]) for d in range(1, 21)}
+
+
+def test_a_curve_that_grows(spark):
+    rows = [(Decimal(v), m) for v in ("0.005", "12345.678901", "-7.125", "20000000000.5") for m in (None, fx.day(3))]
+    daily = fx.by_day(hqla_daily(detail_frame(spark, rows), fx.NOON, 30, 1.01), "total_hqla_usd")
+    assert daily == fx.plain_hqla(rows, fx.NOON, 30, "1.01")
+
+
 def test_wide_and_daily_routes_agree(spark):
     rng = random.Random(3)
     rows = [
