@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 from decimal import ROUND_HALF_UP, Decimal, localcontext
 
@@ -7,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ebbline import Book, run_forecast, run_what_if
+from ebbline.functions.money import with_factor
 from ebbline.operators.scenario import apply_scenario, factors_of_kind, scenario_factors
 from ebbline.plans.jobs import stressed_book
 from tests import fixtures as fx
@@ -126,6 +128,39 @@ def test_amounts_are_rounded_half_up_to_cents(spark):
     assert values == {"P1": Decimal("1000000.00"), "P2": Decimal("166.67"), "P3": Decimal("166.67")}
 
 
+def test_stressed_amounts_are_exact_for_all_sizes_signs_and_ties(spark):
+    """Longs for usual amounts and factors, decimals for others, on both sides of the limits."""
+    rng = random.Random(13)
+    amounts = ["0.01", "0.05", "-0.05", "9999999999.99", "10000000000.00", "-9999999999.99", "999999999999.99", "0.00"]
+    factors = ["0.5", "0.999999999999", "1", "7.999999999999", "8", "-0.5", "0.1", "0.000000000001", "-7.999999999999", "1234.567890123456"]
+    pairs = [(Decimal(a), Decimal(f)) for a in amounts for f in factors]
+    pairs += [(Decimal(rng.randrange(-(10**13), 10**13)).scaleb(-2), Decimal(rng.randrange(-(10**13), 10**13)).scaleb(-12)) for _ in range(300)]
+    pairs += [(Decimal("3.33"), None), (None, Decimal("0.5"))]
+    df = spark.createDataFrame(pairs, "amount decimal(20,2), factor decimal(23,12)")
+    for mode in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", mode)
+        try:
+            rows, amount = with_factor(df, "amount", "factor")
+            have = rows.select("amount", "factor", amount.alias("stressed"), F.col("stress_upper").isNotNull().alias("as_longs")).collect()
+        finally:
+            spark.conf.unset("spark.sql.ansi.enabled")
+        assert len(have) == len(pairs)
+        for r in have:
+            if r.amount is None or r.factor is None:
+                assert r.stressed == r.amount
+                continue
+            with localcontext(prec=60):
+                assert r.stressed == (r.amount * r.factor).quantize(Decimal("0.01"), ROUND_HALF_UP), r
+            assert r.as_longs == (abs(r.amount) < 10**10 and abs(r.factor) < 8)
+
+
+def test_an_amount_that_no_rule_hits_takes_no_decimal_product(spark):
+    b = book(spark, [("1", *CP, "REGION", "Europe", -0.1)])
+    flows = stressed_book(b, ["1"]).cash_inflows
+    text = flows._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN isnull(stress_factor" in text and "stress_upper" in text
+
+
 def test_inputs_are_left_as_they_are(spark):
     b = book(spark, [("1", *POS_UNIT, "REGION", "Asia", -0.5)])
     before = b.positions.collect()
