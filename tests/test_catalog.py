@@ -131,6 +131,13 @@ def test_orders_find_their_customer_before_line_items_find_their_order(spark):
     assert re.findall(r"SortMergeJoin \[(\w+)#", text) == ["l_orderkey", "o_custkey"]
 
 
+def test_the_wide_outflow_table_is_gathered_by_amount_before_it_gets_its_days(spark):
+    text = plan(catalog()["cash_outflow_projection_wide"](spark, SF_DIR))
+    assert "REBALANCE_PARTITIONS_BY_COL" in text and re.search(r"Sort \[outflow_amount_usd#\d+ ASC NULLS FIRST, live_days#\d+ ASC NULLS FIRST\], false", text)
+    assert text.index("day_1_outflow_stock") < text.index("Sort [outflow_amount_usd")
+    assert "REBALANCE" not in plan(catalog()["cash_outflow_from_wide"](spark, SF_DIR))
+
+
 def test_line_items_are_dealt_only_if_the_session_asks(spark):
     def shuffled(n):
         return f"hashpartitioning(l_extendedprice#0, l_shipdate#0, {n})" in re.sub(r"#\d+", "#0", plan(StarSchema(spark, SF_DIR).raw("lineitem")))

@@ -175,6 +175,25 @@ def test_wide_and_daily_routes_agree(spark):
         assert summed == fx.by_day(cashflow_daily(flow, "inflow", as_of, 12), "total_inflow")
 
 
+def test_a_stored_wide_table_holds_an_amount_once_for_a_day(spark, tmp_path):
+    """400 amounts, a fourth of the rows with one of them, nulls among them, in no order."""
+    rng = random.Random(17)
+    amounts = [None, *[f"{rng.randrange(10**4, 10**7)}.{rng.randrange(10, 100)}" for _ in range(399)]]
+    picked = [amounts[7] if rng.random() < 0.25 else rng.choice(amounts) for _ in range(12_000)]
+    rows = [(f"O{i}", "U1", f"C{rng.randrange(3000)}", a or "0", rng.choice([None, None, fx.day(rng.randrange(90))])) for i, a in enumerate(picked)]
+    flow = fx.flows(spark, "outflow", rows).withColumn("outflow_amount_usd", F.expr("nullif(outflow_amount_usd, 0)")).repartition(8).localCheckpoint()
+    sizes = {}
+    for gathered in (False, True):
+        wide = cashflow_projection(flow, "outflow", fx.NOON, 60, gathered=gathered)
+        target = tmp_path / str(gathered)
+        wide.selectExpr(*[f"CAST({c} AS DOUBLE)" if t.startswith("decimal") else c for c, t in wide.dtypes]).write.parquet(str(target))
+        sizes[gathered] = sum(f.stat().st_size for f in target.glob("*.parquet"))
+    assert sizes[True] < 0.5 * sizes[False]
+    plain, together = (spark.read.parquet(str(tmp_path / str(g))) for g in (False, True))
+    assert plain.schema == together.schema and plain.count() == together.count() > 0
+    assert plain.exceptAll(together).isEmpty() and together.exceptAll(plain).isEmpty()
+
+
 @pytest.mark.parametrize("ansi", ["true", "false"])
 def test_wide_table_in_cents_is_exact(spark, ansi):
     """Ties, signs, nulls and any stored money, cell by cell and in total, without decimals for usual rows."""
