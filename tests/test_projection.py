@@ -132,7 +132,7 @@ def test_rows_are_laid_out_over_blocks_and_not_over_days(spark):
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])
-@pytest.mark.parametrize("value", ["999999999.995", "-999999999.994999", "1000000000.005", "123456789012345678.915"])
+@pytest.mark.parametrize("value", ["999999998.999999", "999999999.995", "-999999999.994999", "1000000000.005", "123456789012345678.915"])
 def test_many_rows_of_a_task_are_added_up_exactly(spark, value, ansi):
     """More rows than one double adds up, on both sides of the values that come by digits."""
     n, days = 70_000, [None, fx.day(7)]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ebbline import Book, run_forecast, run_what_if
 from ebbline.functions.money import with_factor
-from ebbline.operators.scenario import apply_scenario, factors_of_kind, scenario_factors
+from ebbline.operators.scenario import Scenarios, apply_scenario, factors_of_kind, scenario_factors
 from ebbline.plans.jobs import stressed_book
 from tests import fixtures as fx
 
@@ -161,6 +161,14 @@ def test_an_amount_that_no_rule_hits_takes_no_decimal_product(spark):
     assert "CASE WHEN isnull(stress_factor" in text and "stress_upper" in text
 
 
+def test_an_entity_has_no_factor_in_a_scenario_that_does_not_hit_it(spark):
+    rows = [("1", *CP, "REGION", "Europe", -0.1), ("2", *CP, "REGION", "Asia", -0.2), ("2", *CP, "REGION", "Europe", 0.0)]
+    scenarios = Scenarios.of({"counterparty_data": fx.counterparties(spark)}, fx.rules(spark, rows), ["1", "2", "3"])
+    key, table = scenarios.factor_columns("counterparty")
+    have = {r[key]: tuple(r[f"counterparty_{n}"] for n in range(3)) for r in table.collect()}
+    assert have == {"C1": (Decimal("0.9"), Decimal(1), None), "C2": (None, Decimal("0.8"), None)}
+
+
 def test_inputs_are_left_as_they_are(spark):
     b = book(spark, [("1", *POS_UNIT, "REGION", "Asia", -0.5)])
     before = b.positions.collect()
